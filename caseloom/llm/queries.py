@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate
+from caseloom.llm import decontaminate, quality
 
 QUERIES = {
+    "op6_quality_rules": quality.op6_quality_rules,
     "op9_decontamination": decontaminate.op9_decontamination,
 }
 
