@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate, quality
+from caseloom.llm import decontaminate, quality, sharding, simhash
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_sharding": sharding.op7_sharding,
     "op9_decontamination": decontaminate.op9_decontamination,
 }
 
