@@ -77,3 +77,18 @@ def unsigned_bucket(doc_id: Column, modulo: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bounded_sample(rows: DataFrame, key: str, stratum: str, most: int) -> DataFrame:
+    """About ``most`` rows of each stratum (all of a smaller one), drawn by a hash of ``key``: reruns draw the same.
+
+    The strata are few by nature (languages, labels); their counts come to the driver. Rows with a null stratum are
+    left out.
+    """
+    rows = rows.where(F.col(stratum).isNotNull())
+    counts = rows.groupBy(stratum).count().collect()
+    scale = 1 << 30
+    limit = F.lit(None).cast("long")
+    for value, n in counts:
+        limit = F.when(F.col(stratum) == F.lit(value), F.lit(scale if n <= most else scale * most // n)).otherwise(limit)
+    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(scale)) < limit)
