@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate, language, quality, sharding, simhash, tokenfile, toxicity
+from caseloom.llm import decontaminate, language, quality, sharding, simhash, substring, tokenfile, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -12,8 +12,10 @@ QUERIES = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_sharding": sharding.op7_sharding,
     "op9_decontamination": decontaminate.op9_decontamination,
+    "op10_substring": substring.op10_substring,
 }
 
 ORACLE_SQL = {
     "op9_decontamination": decontaminate.OP9_SQL,
+    "op10_substring": substring.OP10_SQL,
 }
