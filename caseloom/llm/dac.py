@@ -78,17 +78,22 @@ class DacArray:
         return int(ranks[block]) + before + partial.bit_count()
 
     def slice(self, start: int, stop: int) -> np.ndarray:
-        """Values start to stop as uint64: each level is entered at the rank of the slice's first value."""
+        """Values start to stop (uint32, or uint64 where the array has more than four levels): each level is entered
+        at the rank of the slice's first value."""
         start, stop = max(0, start), min(self.n, stop)
-        out = np.zeros(max(0, stop - start), np.uint64)
-        where = np.arange(len(out))
+        kind = np.uint32 if len(self.levels) <= 4 else np.uint64
+        out, where = np.zeros(max(0, stop - start), kind), None
         for level, (chunk, bitmap, ranks) in enumerate(self.levels):
             if stop <= start:
                 break
-            out[where] |= chunk[start:stop].astype(np.uint64) << np.uint64(8 * level)
+            part = chunk[start:stop].astype(kind) << kind(8 * level)
+            if where is None:
+                out = part
+            else:
+                out[where] |= part
             low = start & ~7
-            bits = np.unpackbits(bitmap[low >> 3 : (stop + 7) >> 3], bitorder="little")[start - low : stop - low].astype(bool)
-            where = where[bits]
+            bits = np.unpackbits(bitmap[low >> 3 : (stop + 7) >> 3], bitorder="little")[start - low : stop - low].view(bool)
+            where = np.flatnonzero(bits) if where is None else where[bits]
             start = self._rank(bitmap, ranks, start)
             stop = start + len(where)
         return out

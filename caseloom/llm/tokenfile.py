@@ -35,7 +35,7 @@ class PieceEncoder:
     plain byte-level BPE, go to the library whole.
     """
 
-    def __init__(self, path: str, max_pieces: int = 400_000):
+    def __init__(self, path: str, max_pieces: int = 600_000):
         import json
 
         from tokenizers import Tokenizer
@@ -50,31 +50,59 @@ class PieceEncoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _words(self, pieces: list[str], lead: str) -> list[bytes]:
+        """Ids of pieces that are one space (or nothing) and letters: many go to the library as one text, in which
+        each follows ``lead``, and the encoding's word numbers give them back piece by piece."""
+        out: list[bytes] = []
+        every = 2 if lead else 1  # a lead is a piece of its own
+        for at in range(0, len(pieces), 1000):
+            part = pieces[at : at + 1000]
+            e = self.tokenizer.encode(lead + lead.join(part), add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            ends = np.searchsorted(np.array(e.word_ids), np.arange(every * len(part)), side="right")
+            if ends[-1] != len(ids) or e.word_ids[-1] != every * len(part) - 1:
+                return self._library(pieces)  # the library split them otherwise
+            data, cuts = ids.tobytes(), (4 * np.r_[0, ends]).tolist()
+            out += [data[cuts[j] : cuts[j + 1]] for j in range(every - 1, every * len(part), every)]
+        return out
+
+    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        spaced = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        bare = [p for p in pieces if p.isalpha()]
+        known = dict(zip(spaced, self._words(spaced, ""), strict=True)) | dict(zip(bare, self._words(bare, "\n"), strict=True))
+        rest = [p for p in pieces if p not in known]
+        return known | dict(zip(rest, self._library(rest), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        out: list = [None] * len(texts)
         if not self.by_piece:
             return self._library(texts)
+        out: list = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if not PLAIN.fullmatch(t)]
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        later = []
+        later, new = [], set()
         get = self.memory.get
         for i, t in enumerate(texts):
             if out[i] is None:
                 pieces = PIECE.findall(t)
                 ids = list(map(get, pieces))
                 if None in ids:
-                    later.append((i, pieces, ids))
+                    gaps, j = [], -1
+                    for _ in range(ids.count(None)):
+                        j = ids.index(None, j + 1)
+                        gaps.append((j, pieces[j]))
+                    new.update([p for _, p in gaps])
+                    later.append((i, gaps, ids))
                 else:
                     out[i] = b"".join(ids)
-        new = list({p for _, pieces, ids in later for p, x in zip(pieces, ids, strict=True) if x is None})
-        fresh = dict(zip(new, self._library(new), strict=True))
-        for i, pieces, ids in later:
-            out[i] = b"".join([fresh[p] if x is None else x for p, x in zip(pieces, ids, strict=True)])
-        room = self.max_pieces - len(self.memory)
-        if room < len(fresh):  # start over: frequent pieces come back with the next texts
-            self.memory.clear()
+        fresh = self._pieces(list(new))
+        for i, gaps, ids in later:
+            for j, p in gaps:
+                ids[j] = fresh[p]
+            out[i] = b"".join(ids)
+        if len(self.memory) + len(fresh) > self.max_pieces:  # the older half goes; what is frequent comes back
+            self.memory = dict(list(self.memory.items())[len(self.memory) // 2 :])
         self.memory.update(fresh)
         return out
 
