@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate, language, quality, sharding, simhash, substring, tokenfile, toxicity
+from caseloom.llm import decontaminate, language, quality, sharding, simhash, substring, suffix, tokenfile, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_language_id": language.op4_language_id,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_sharding": sharding.op7_sharding,
+    "op8_suffix_array": suffix.op8_suffix_array,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_substring": substring.op10_substring,
 }
