@@ -75,9 +75,16 @@ def _bags(texts: list[str], buckets: int):
         words = WORD.findall(text.lower())
         ids, n = np.unique(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words)), return_counts=True)
         bags.append((ids.astype(np.int32), (n / max(1, len(words))).astype(np.float32)))
-    grams, start = subword_buckets(list(index), buckets)
-    size = np.diff(np.r_[start, len(grams)])
-    grams = grams.astype(np.int32)
+    forms, parts, sizes = list(index), [], []
+    index.clear()
+    for at in range(0, len(forms), 20_000):  # hashing needs many times the space of its result
+        grams, start = subword_buckets(forms[at : at + 20_000], buckets)
+        parts.append(grams.astype(np.int32))
+        sizes.append(np.diff(np.r_[start, len(grams)]))
+    del forms
+    grams = np.concatenate([*parts, np.zeros(0, np.int32)])
+    size = np.concatenate([*sizes, np.zeros(0, np.int64)])
+    start = np.cumsum(size) - size
 
     def each():
         for ids, share in bags:
@@ -204,7 +211,7 @@ class Scorer:
         return [float(1 / (1 + np.exp(-min(700.0, max(-700.0, x + self.model.bias))))) for x in out]
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = 5000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = 3000) -> Model:
     """Fit on about ``max_docs`` whole labelled documents of each label (a documented bound). Ids are drawn from the
     label table alone, so that only the drawn texts are fetched. Rows with null text or label teach nothing."""
     ship_package(docs.sparkSession)
