@@ -6,6 +6,7 @@ executor then costs a re-read, and the lineage of later steps starts at a file s
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -48,6 +49,7 @@ def discard(df: DataFrame) -> None:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Ask the driver's JVM to collect finished plans, so that Spark's cleaner drops their shuffle files."""
+    gc.collect()
     spark._jvm.System.gc()
 
 

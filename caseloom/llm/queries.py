@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate, language, quality, sharding, simhash, substring, suffix, tokenfile, toxicity
+from caseloom.llm import decontaminate, language, mixing, quality, sharding, simhash, substring, suffix, tokenfile, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_token_binary": tokenfile.op2_token_binary,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language_id": language.op4_language_id,
+    "op5_mixing": mixing.op5_mixing,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_sharding": sharding.op7_sharding,
     "op8_suffix_array": suffix.op8_suffix_array,

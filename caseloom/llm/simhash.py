@@ -292,3 +292,27 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: fingerprint and component of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, one of each near-duplicate component: the one with the smallest id (null ids last, and of rows
+    with the same id the one with the smallest text hash). All columns stay."""
+    marked = near_duplicates(docs, id_col, text_col)
+    # The survivor's id by component; ids of all others are what has to go.
+    drop = materialize(marked.where("component_id is not null and not (doc_id <=> component_id)").select("doc_id").distinct(), "near-duplicates")
+    ids = docs.groupBy(id_col).count().where(F.col("count").__gt__(1) | F.col(id_col).isNull())
+    kept = docs.join(drop.withColumnRenamed("doc_id", "__drop"), F.col(id_col).eqNullSafe(F.col("__drop")), "left_anti")
+    if ids.isEmpty():
+        return kept
+    # Some id is null or repeated: those rows are few or alike, and are settled by fingerprint.
+    again = with_fingerprint(kept, text_col, "__fp").join(near_roots(marked).withColumnRenamed("fp", "__fp"), "__fp")
+    first = again.groupBy("__root").agg(F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.xxhash64(text_col).alias("t"))).alias("__first"))
+    settled = again.join(first, "__root").where(F.col(id_col).eqNullSafe(F.col("__first.i")) & (F.xxhash64(text_col) == F.col("__first.t")))
+    # Rows alike in id and text are one document.
+    return settled.dropDuplicates(["__root"]).select(*docs.columns)
+
+
+def near_roots(marked: DataFrame) -> DataFrame:
+    """(fp, root): components named by their smallest fingerprint, which is never null."""
+    known = marked.select("fp", "component_id").distinct()
+    return known.select("fp", F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string"))).alias("__root"))
