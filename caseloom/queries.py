@@ -1,4 +1,396 @@
-"""Registered queries of the evidence operators."""
+"""Registered queries of the evidence operators, each with SQL that DuckDB can run on the same tables.
+
+Rule operators run twice: on literal vectors with their own rule values, and on the corpus with word lists that the
+corpus has, as its prose has none of the domain's.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caseloom.functions import identity as I
+from caseloom.functions import text as X
+from caseloom.operators import atomic, cases, certify, classify, narrative, registry, spans, state, structure
+from caseloom.sources import html
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    """Register a function of (spark, t), t(name) reading a table."""
+
+    def add(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir, f=f: f(spark, lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- sentence spans -------------------------------------------------------------------------------------------------
+
+
+def _document_spans(t) -> DataFrame:
+    d = t("documents").select(F.col("doc_id").cast("string").alias("case_id"), F.col("doc_id").cast("string").alias("artifact_id"), "text", F.sha2("text", 256).alias("artifact_checksum"), F.lit("extract:unknown").alias("text_extraction_version"))
+    return spans.sentence_spans(d, ascii_ids=True)
+
+
+def _replaced(x: str) -> str:
+    for a in spans.ABBREVIATIONS:
+        x = f"replace({x}, '{a}', '{a.replace('.', chr(0xE000))}')"
+    return x
+
+
+P, D, E3, S = chr(0xE000), chr(0xE001), chr(0xE002), chr(0xE003)
+_PROTECTED = _replaced(f"regexp_replace(regexp_replace(replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '...', '{E3}'), '([0-9])\\.([0-9])', '\\1{D}\\2', 'g'), '([0-9])\\.([0-9])', '\\1{D}\\2', 'g')")
+SPAN_SQL = f"""
+WITH a AS (SELECT doc_id, {_PROTECTED} AS x FROM documents),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(x, '\\b([A-Z])\\.([A-Z])\\.', '\\1{P}\\2{P}', 'g'), '([.!?])\\s+(["''(\\[]?[A-Z0-9])', '\\1{S}\\2', 'g') AS x FROM a),
+c AS (SELECT doc_id, string_split(x, '{S}') AS parts FROM b),
+s AS (SELECT doc_id, unnest(parts) AS p, generate_subscripts(parts, 1) AS i FROM c)
+SELECT doc_id, i, trim(replace(replace(replace(p, '{P}', '.'), '{D}', '.'), '{E3}', '...')) AS sentence FROM s"""
+
+
+@query(f"""
+SELECT 'sspan:' || doc_id || ':' || doc_id || ':' || substr(sha256('{{"paragraph":1,"parent_structural_span_id":"pstruct:' || doc_id || ':paragraph:1","type":"paragraph"}}'), 1, 12) || ':' || i AS sentence_span_id,
+  CAST(doc_id AS VARCHAR) AS case_id, CAST(i AS INTEGER) AS sentence_index, sentence AS sentence_text,
+  coalesce(lag(sentence) OVER w, '') AS preceding_text, coalesce(lead(sentence) OVER w, '') AS following_text
+FROM ({SPAN_SQL}) WINDOW w AS (PARTITION BY doc_id ORDER BY i)""")
+def sentence_spans(spark, t):
+    return _document_spans(t).select("sentence_span_id", "case_id", "sentence_index", "sentence_text", "context.preceding_text", "context.following_text")
+
+
+@query(f"SELECT 'pstruct:' || doc_id || ':paragraph:1' AS parent_structural_span_id, count(*) AS n, true AS sequential FROM ({SPAN_SQL}) GROUP BY doc_id")
+def sentence_index_check(spark, t):
+    return spans.index_check(_document_spans(t))
+
+
+# --- text and identity ----------------------------------------------------------------------------------------------
+
+
+@query("""SELECT p_partkey, coalesce(nullif(trim(substr(regexp_replace(regexp_replace(regexp_replace(lower(trim(regexp_replace(p_name, '\\s+', ' ', 'g'))), '\\pP', '', 'g'), '\\s+', '_', 'g'), '_+', '_', 'g'), 1, 80), '_'), ''), 'item') AS slug,
+  replace(upper(trim(regexp_replace(p_brand, '\\s+', ' ', 'g'))), ' ', '') AS case_number, trim(regexp_replace(lower(p_type), '[^a-z0-9]+', ' ', 'g')) AS cue FROM part""")
+def slugify_titles(spark, t):
+    return t("part").select("p_partkey", X.slugify(F.col("p_name")).alias("slug"), X.normalize_case_number(F.col("p_brand")).alias("case_number"), X.cue_text(F.col("p_type")).alias("cue"))
+
+
+@query("""SELECT o_orderkey, trim(regexp_replace(regexp_replace(upper(trim(regexp_replace(trim(regexp_replace(o_orderpriority || ' :  ', '\\s+', ' ', 'g')), '^[0-9]+(\\.[0-9]+)*[.)]?\\s*', ''), ':- ')), '[^A-Z0-9 ]+', '', 'g'), '\\s+', ' ', 'g')) AS heading FROM orders""")
+def normalize_heading(spark, t):
+    return t("orders").select("o_orderkey", X.normalize_heading(F.concat("o_orderpriority", F.lit(" :  "))).alias("heading"))
+
+
+@query("""SELECT o_orderkey, sha256('{"note":null,"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus || '","order_key":' || o_orderkey || '}') AS fingerprint,
+  'ntsb:docket_item:' || o_orderkey || ':' || o_custkey || ':x' AS item_id, 'sha256/' || substr(sha256(o_orderpriority), 1, 2) || '/' || substr(sha256(o_orderpriority), 3, 2) || '/' || sha256(o_orderpriority) AS blob_path FROM orders""")
+def canonical_fingerprint(spark, t):
+    f = {"order_key": F.col("o_orderkey"), "o_orderstatus": F.col("o_orderstatus"), "o_orderpriority": F.col("o_orderpriority"), "note": F.lit(None).cast("string")}
+    return t("orders").select("o_orderkey", I.fingerprint(f, ascii_only=True).alias("fingerprint"), I.docket_item_id(F.col("o_orderkey").cast("string"), F.col("o_custkey"), F.lit("x")).alias("item_id"), I.blob_path(F.sha2("o_orderpriority", 256)).alias("blob_path"))
+
+
+@query("""SELECT page_id, nullif(regexp_extract(url, '[?&][pP][aA][gG][eE]=([^&#]+)', 1), '') AS page FROM pages""")
+def query_param_project_id(spark, t):
+    return t("pages").select("page_id", X.query_parameter(F.col("url"), "page").alias("page"))
+
+
+# --- classifiers ----------------------------------------------------------------------------------------------------
+
+VECTORS = [("Factual Report", "u/a.pdf", "PDF", 3, 0), ("Photo report", "u/b.pdf", "PDF", 3, 1), ("Site images", "u/c.pdf", None, None, 7), ("Chairman note", "u/d.doc", None, 1, None), ("Chairman note", "u/d?FileExtension=pdf", None, 1, None), ("Other", "u/e.PDF", None, 2, 2), ("Maintenance Records", None, "a pdf file", 0, 0)]
+
+
+@query("""SELECT * FROM (VALUES (0, true, 'pdf_download_url,pdf_display_type,title:report,title:factual'), (1, false, 'pdf_download_url,pdf_display_type,title:report,reject_title:photo'), (2, false, 'pdf_download_url,reject_photo_only'),
+  (3, false, 'title:chairman'), (4, false, 'title:chairman'), (5, false, 'pdf_download_url'), (6, true, 'pdf_display_type,title:maintenance records')) v(k, selected, rules)""")
+def selection_rules_vectors(spark, t):
+    rows = spark.createDataFrame([(k, *v) for k, v in enumerate(VECTORS)], "k int, title string, download_url string, display_type string, page_count int, photo_count int")
+    s = classify.selection(*[F.col(c) for c in ("title", "download_url", "display_type", "page_count", "photo_count")])
+    return rows.select("k", s.alias("s")).select("k", "s.selected", F.array_join("s.matched_rules", ",").alias("rules"))
+
+
+HIGH, LOW = ("than", "tion", "ment"), ("zz", "lich", "ción")
+
+
+@query("""WITH d AS (SELECT doc_id, lower(text) AS x, n_chars % 7 AS pages, n_chars % 3 AS photos FROM documents),
+f AS (SELECT doc_id, pages, photos, list_filter(['than', 'tion', 'ment'], lambda k: contains(x, k)) AS yes, list_filter(['zz', 'lich', 'ción'], lambda k: contains(x, k)) AS no FROM d)
+SELECT doc_id, NOT (photos <> 0 AND pages = 0) AND len(no) = 0 AND len(yes) > 0 AS selected,
+  array_to_string(list_concat(['pdf_download_url'], list_transform(yes, lambda k: 'title:' || k), CASE WHEN photos <> 0 AND pages = 0 THEN ['reject_photo_only'] ELSE list_transform(no, lambda k: 'reject_title:' || k) END), ',') AS rules FROM f""")
+def selection_rules_corpus(spark, t):
+    s = classify.selection(F.col("text"), F.lit("x.pdf"), F.lit(None).cast("string"), F.col("n_chars") % 7, F.col("n_chars") % 3, HIGH, LOW)
+    return t("documents").select("doc_id", s.alias("s")).select("doc_id", "s.selected", F.array_join("s.matched_rules", ",").alias("rules"))
+
+
+TITLES = ["Preliminary Report of X", "Materials Laboratory Factual Report", "Emergency Response Factual Report", "Interview of the operator", "Interview summary report", "Final Report", "Railroad Commission Final Report", "PIR-12-3", "NTSB accident report", "DOT Accident Report", "Report PAB/12", "Appendix B", "PHMSA report", "State Fire Marshal report", "Newsletter", "Nothing"]
+
+
+@query("""SELECT * FROM (VALUES (0, 'preliminary_report', 'title matched ''preliminary report'''), (1, 'materials_report', 'title matched ''materials laboratory'''), (2, 'emergency_response_report', 'title matched ''emergency response'''), (3, 'interview_transcript', 'title matched ''interview'''),
+  (4, 'unknown', 'fallback to unknown'), (5, 'investigation_report', 'title matched ''final report'''), (6, 'regulatory_report', 'title matched ''railroad commission'' + ''report'''), (7, 'investigation_report', 'title matched ''PIR-'''), (8, 'investigation_report', 'title matched ''accident report'''),
+  (9, 'external_reference', 'title matched ''accident report'''), (10, 'investigation_report', 'title matched report code ''PAB'''), (11, 'attachment_appendix', 'title matched ''appendix'''), (12, 'regulatory_report', 'title matched ''phmsa report'''), (13, 'regulatory_report', 'title matched ''state fire marshal'' + ''report'''),
+  (14, 'external_reference', 'title matched ''letter'''), (15, 'factual_report', 'text matched ''factual report''')) v(k, document_type, basis)""")
+def doc_type_vectors(spark, t):
+    rows = spark.createDataFrame([(k, v, "the factual report" if v == "Nothing" else "") for k, v in enumerate(TITLES)], "k int, title string, text string")
+    return classify.triage(rows).select("k", F.col("inferred_document_type").alias("document_type"), F.col("inference_basis").alias("basis"))
+
+
+@query("""WITH c AS (SELECT p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', ' ', 'g')) AS x FROM part)
+SELECT p_partkey, CASE WHEN contains(x, 'letter') OR contains(x, 'manual') OR contains(x, 'memo') OR contains(x, 'training') OR contains(x, 'email') OR contains(x, 'procedure') OR contains(x, 'reference') THEN 'external_reference' ELSE 'unknown' END AS document_type FROM c""")
+def doc_type_corpus(spark, t):
+    return classify.triage(t("part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("title"), F.lit("").alias("text"))).select("p_partkey", F.col("inferred_document_type").alias("document_type"))
+
+
+@query("""WITH c AS (SELECT d.source AS docket_id, CAST(d.doc_id AS VARCHAR) AS id, CASE WHEN l.toxic = 1 THEN 'investigation_report' WHEN l.quality = 0 THEN 'factual_report' ELSE 'unknown' END AS kind, length(trim(substr(text, 1, 40))) AS tl, n_chars FROM documents d LEFT JOIN labels l USING (doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY docket_id ORDER BY CASE kind WHEN 'investigation_report' THEN 0 WHEN 'factual_report' THEN 1 ELSE 2 END, tl DESC, n_chars DESC, id) AS k FROM c)
+SELECT docket_id, id AS selected_document_id, kind AS inferred_document_type, CASE WHEN kind <> 'unknown' THEN 'selected highest-priority document_type ' || kind ELSE 'selected fallback longest title' END AS selection_reason FROM r WHERE k = 1""")
+def primary_narrative(spark, t):
+    l = t("labels")
+    kind = F.when(F.col("toxic") == 1, "investigation_report").when(F.col("quality") == 0, "factual_report").otherwise("unknown")
+    d = t("documents").join(l, "doc_id", "left").select(F.col("source").alias("docket_id"), F.col("doc_id").cast("string").alias("docket_item_id"), kind.alias("inferred_document_type"), F.substring("text", 1, 40).alias("title"), "text")
+    return narrative.primary_narrative(d)
+
+
+# --- structure ------------------------------------------------------------------------------------------------------
+
+REPORT = "A title of the report\nPreamble\n\nFACTUAL INFORMATION\nbody a\n1.2 Fire\nbody b\nPage 3\nProbable Cause\nfirst\nAPPENDIX A\nafter\nPROBABLE CAUSE\nA TITLE OF THE REPORT\nthe cause\nPAR2301\nFor more details about\nthis accident see\nRECOMMENDATIONS\n- act"
+
+
+@query("""SELECT * FROM (VALUES (0,'title',NULL),(1,'section_body','abstract'),(2,'noise',NULL),(3,'section_header','factual_information'),(4,'section_body','factual_information'),(5,'section_header','factual_information'),(6,'section_body','factual_information'),(7,'noise',NULL),(8,'section_header','probable_cause'),(9,'section_body','probable_cause'),
+  (10,'stop_header',NULL),(11,'unclassified',NULL),(12,'section_header','probable_cause'),(13,'noise',NULL),(14,'section_body','probable_cause'),(15,'noise',NULL),(16,'stop_header',NULL),(17,'unclassified',NULL),(18,'section_header','recommendations'),(19,'section_body','recommendations')) v(line_index, kind, section_key)""")
+def structure_lines(spark, t):
+    return structure.line_assignments(spark.createDataFrame([("a", REPORT)], "doc_id string, text string")).select("line_index", "kind", "section_key")
+
+
+@query("""SELECT * FROM (VALUES ('abstract', 'Preamble'), ('factual_information', 'body a' || chr(10) || chr(10) || '1.2 Fire' || chr(10) || 'body b'), ('probable_cause', 'the cause'), ('recommendations', '- act')) v(section_key, text)""")
+def structure_sections(spark, t):
+    return structure.sections(structure.line_assignments(spark.createDataFrame([("a", REPORT)], "doc_id string, text string"))).select("section_key", "text")
+
+
+#: First words of many documents of the corpus, as stand-in headings.
+CORPUS_HEADINGS = {"THE": "the", "OF": "of", "AND": "and"}
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+l2 AS (SELECT l.* FROM l JOIN documents d USING (doc_id) WHERE NOT (line = '' AND i = len(string_split(d.text, chr(10))) - 1)),
+h AS (SELECT *, trim(regexp_replace(regexp_replace(upper(trim(regexp_replace(trim(regexp_replace(line, '\\s+', ' ', 'g')), '^[0-9]+(\\.[0-9]+)*[.)]?\\s*', ''), ':- ')), '[^A-Z0-9 ]+', '', 'g'), '\\s+', ' ', 'g')) AS hd FROM l2)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hd IN ('THE', 'OF', 'AND')) AS n_headers FROM h GROUP BY doc_id""")
+def structure_headers_corpus(spark, t):
+    lines = structure.line_assignments(t("documents").select("doc_id", "text"), CORPUS_HEADINGS)
+    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(F.col("kind") == "section_header").alias("n_headers"))
+
+
+@query("SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(string_split(rtrim(text, chr(10)), chr(10))) FROM documents) GROUP BY doc_id")
+def structure_single_owner(spark, t):
+    lines = structure.line_assignments(t("documents").select("doc_id", "text"))
+    return lines.groupBy("doc_id", "line_index").count().groupBy("doc_id").agg(F.sum("count").alias("n"))
+
+
+# --- current state --------------------------------------------------------------------------------------------------
+
+
+def _runs(t):
+    o = t("orders").select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_orderstatus").alias("a"), F.col("o_orderpriority").alias("b"))
+    n = F.col("k").cast("long")
+    old = o.where(n % 3 != 0).withColumns({"first_seen_at": F.lit("t1"), "last_seen_at": F.lit("t1"), "last_run_id": F.lit("r1")})
+    new = o.where(n % 4 != 0).withColumn("b", F.when(n % 5 == 0, F.lit("X")).otherwise(F.col("b")))
+    return old, new
+
+
+@query("""WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS a, o_orderpriority AS b FROM orders WHERE o_orderkey % 3 <> 0),
+n AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS a, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderpriority END AS b FROM orders WHERE o_orderkey % 4 <> 0)
+SELECT coalesce(n.k, o.k) AS k, coalesce(n.a, o.a) AS a, coalesce(n.b, o.b) AS b, CASE WHEN o.k IS NULL THEN 't2' ELSE 't1' END AS first_seen_at, CASE WHEN n.k IS NULL THEN 't1' ELSE 't2' END AS last_seen_at, CASE WHEN n.k IS NULL THEN 'r1' ELSE 'r2' END AS last_run_id,
+  CASE WHEN n.k IS NOT NULL THEN o.k IS NULL OR o.a IS DISTINCT FROM n.a OR o.b IS DISTINCT FROM n.b END AS changed FROM o FULL JOIN n ON o.k = n.k""")
+def current_state_merge(spark, t):
+    old, new = _runs(t)
+    return state.merge(old, new, "k", ("a", "b"), "t2", "r2")
+
+
+def _items(t):
+    """Lineitems as docket items: the order is the case, the line number the ordinal."""
+    i = t("lineitem").groupBy(F.col("l_orderkey").cast("string").alias("ntsb_number"), F.col("l_linenumber").alias("ordinal")).agg(F.min("l_partkey").alias("p"), F.min("l_returnflag").alias("title"))
+    null = lambda c, kind="string": F.lit(None).cast(kind).alias(c)
+    return i.select(F.concat_ws(":", "ntsb_number", "ordinal", F.col("p") % 2).alias("docket_item_id"), "ntsb_number", "ordinal", F.lit("s").alias("normalized_title_slug"), "title", null("page_count", "int"), null("photo_count", "int"), null("display_type"), null("view_url"), null("download_url"), null("source_fingerprint"), "p")
+
+
+def _merged(t):
+    i = _items(t)
+    case = F.col("ntsb_number").cast("long")
+    old = i.where(F.col("ordinal") != 3).drop("p").withColumns({"selection_selected": F.lit(True), "selection_rule_version": F.lit("v"), "selection_matched_rules_json": F.lit("[]"), "selection_rationale": F.lit("r"), "is_active": F.col("ordinal") != 2, "first_seen_at": F.lit("t1"), "last_seen_at": F.lit("t1"), "last_run_id": F.lit("r1")})
+    new = i.where((case % 2 == 0) & (F.col("ordinal") != 4)).drop("p").withColumn("docket_item_id", F.when(case % 3 == 0, F.concat("docket_item_id", F.lit("n"))).otherwise(F.col("docket_item_id")))
+    return state.replace_items(old, new, "t2", "r2")
+
+
+ITEM_SQL = """i AS (SELECT c, ordinal, c || ':' || ordinal || ':' || (p % 2) AS id FROM (SELECT l_orderkey AS c, l_linenumber AS ordinal, min(l_partkey) AS p FROM lineitem GROUP BY l_orderkey, l_linenumber)),
+m AS (SELECT c, ordinal, max(CASE WHEN c % 2 = 0 AND ordinal <> 4 THEN 1 ELSE 0 END) OVER (PARTITION BY c) = 1 AS seen, ordinal <> 3 AS had, c % 2 = 0 AND ordinal <> 4 AS got, ordinal <> 2 AS was, c % 3 = 0 AS moved, id FROM i),
+x AS (SELECT *, CASE WHEN got AND NOT had THEN 'inserted' WHEN got AND NOT was THEN 'reactivated' WHEN got AND moved THEN 'updated' WHEN got THEN 'unchanged' WHEN was AND seen THEN 'deactivated' ELSE 'kept' END AS outcome FROM m WHERE had OR got)"""
+
+
+@query(f"WITH {ITEM_SQL} SELECT CAST(c AS VARCHAR) AS ntsb_number, CAST(ordinal AS INTEGER) AS ordinal, CASE WHEN got AND moved THEN id || 'n' ELSE id END AS docket_item_id, outcome, had AND got AND moved AS replaced, CASE WHEN got THEN true WHEN seen AND NOT got THEN false ELSE was END AS is_active, CASE WHEN got THEN NULL ELSE true END AS selection_selected FROM x")
+def replace_items(spark, t):
+    return _merged(t).select("ntsb_number", F.col("ordinal").cast("int").alias("ordinal"), "docket_item_id", "outcome", "replaced", "is_active", "selection_selected")
+
+
+@query(f"WITH {ITEM_SQL} SELECT count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, count(*) FILTER (outcome = 'reactivated') AS reactivated, count(*) FILTER (outcome = 'deactivated') AS deactivated, count(*) FILTER (outcome = 'unchanged') AS unchanged, count(*) FILTER (had AND got AND moved) AS replaced, count(*) FILTER (CASE WHEN got THEN true WHEN seen AND NOT got THEN false ELSE was END) AS active_count FROM x")
+def replace_outcomes(spark, t):
+    return state.replace_counts(_merged(t))
+
+
+@query(f"WITH {ITEM_SQL} SELECT CASE WHEN had AND got AND moved THEN id || 'n' ELSE id END AS docket_item_id, 'b' || id AS blob FROM x WHERE had")
+def id_cascade(spark, t):
+    children = _items(t).where("ordinal <> 3").select("docket_item_id", F.concat(F.lit("b"), "docket_item_id").alias("blob"))
+    return state.cascade_ids(children, _merged(t))
+
+
+@query("""WITH i AS (SELECT c, ordinal, c || ':' || ordinal || ':' || (p % 2) AS id FROM (SELECT l_orderkey AS c, l_linenumber AS ordinal, min(l_partkey) AS p FROM lineitem GROUP BY l_orderkey, l_linenumber)),
+cases AS (SELECT DISTINCT c FROM i WHERE c % 2 = 0 AND ordinal <> 2)
+SELECT id AS docket_item_id, NOT (c IN (SELECT c FROM cases) AND ordinal = 2) AS is_active, CASE WHEN c IN (SELECT c FROM cases) AND ordinal = 2 THEN 'r2' ELSE 'r1' END AS last_run_id FROM i""")
+def deactivate_missing(spark, t):
+    i = _items(t).select("docket_item_id", "ntsb_number", "ordinal").withColumns({"is_active": F.lit(True), "last_run_id": F.lit("r1")})
+    listed = i.where((F.col("ntsb_number").cast("long") % 2 == 0) & (F.col("ordinal") != 2))
+    return state.deactivate_missing(i, listed, "r2").select("docket_item_id", "is_active", "last_run_id")
+
+
+@query("""WITH c AS (SELECT l_orderkey AS k, CASE WHEN l_quantity > 45 THEN NULL ELSE l_linenumber % 6 END AS o, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS r FROM lineitem),
+i AS (SELECT *, CASE WHEN o IS NULL THEN 'missing' WHEN o <= 0 THEN 'non_positive' WHEN row_number() OVER (PARTITION BY k, o ORDER BY r) > 1 THEN 'duplicate' END AS issue FROM c),
+s AS (SELECT *, max(CASE WHEN issue IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY k) = 0 AS stable FROM i)
+SELECT CAST(k AS VARCHAR) AS ntsb_number, CAST(r AS INTEGER) AS row_index, issue, stable AS ordinal_stable, CAST(CASE WHEN stable THEN o ELSE row_number() OVER (PARTITION BY k ORDER BY r) END AS INTEGER) AS effective_ordinal FROM s""")
+def ordinal_stability(spark, t):
+    from pyspark.sql import Window
+
+    r = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"))
+    c = t("lineitem").select(F.col("l_orderkey").cast("string").alias("ntsb_number"), F.when(~(F.col("l_quantity") > 45), F.col("l_linenumber") % 6).cast("int").alias("ordinal"), r.alias("row_index"))
+    return state.ordinal_stability(c).select("ntsb_number", "row_index", "issue", "ordinal_stable", F.col("effective_ordinal").cast("int").alias("effective_ordinal"))
+
+
+# --- joins and summaries --------------------------------------------------------------------------------------------
+
+
+@query("""SELECT c_name AS project_id, CAST(l_orderkey AS VARCHAR) AS ntsb_number, l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey AS docket_item_id, CAST(l_linenumber AS INTEGER) AS ordinal, o_orderpriority AS title
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) ON o_custkey = c_custkey""")
+def export_manifest(spark, t):
+    key = F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    null = lambda c: F.lit(None).cast("string").alias(c)
+    l = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    d = l.select(key.alias("docket_item_id"), F.col("l_orderkey").cast("string").alias("ntsb_number"), *map(null, ("source_url", "blob_sha256", "blob_path", "media_type", "last_run_id")))
+    i = l.select(key.alias("docket_item_id"), F.col("l_linenumber").cast("int").alias("ordinal"), F.col("o_orderpriority").alias("title"), null("view_url")).distinct()
+    s = t("orders").join(t("customer").where("c_custkey % 2 = 0"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").cast("string").alias("ntsb_number"), F.col("c_name").alias("project_id"))
+    return cases.handoff(d, i, s).select("project_id", "ntsb_number", "docket_item_id", "ordinal", "title")
+
+
+@query("""WITH c AS (SELECT o_custkey AS k FROM orders UNION SELECT c_custkey FROM customer UNION SELECT user_id FROM events)
+SELECT CAST(k AS VARCHAR) AS ntsb_number, (SELECT count(*) FROM orders WHERE o_custkey = k) AS docket_items_count, (SELECT count(*) FROM events WHERE user_id = k) AS downloads_count FROM c""")
+def case_summary(spark, t):
+    of = lambda name, k: t(name).select(F.col(k).cast("string").alias("ntsb_number"))
+    o, c, e = of("orders", "o_custkey"), of("customer", "c_custkey"), of("events", "user_id")
+    return cases.case_summary(cases.case_ids(o, c, e), o, e)
+
+
+@query("SELECT 'nation' AS table_name, count(*) AS n FROM nation UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'documents', count(*) FROM documents")
+def table_counts(spark, t):
+    return cases.table_counts({k: t(k) for k in ("nation", "orders", "documents")})
+
+
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS ntsb_number, coalesce(CASE WHEN o_custkey % 3 = 0 THEN 'i' || o_custkey END, CASE WHEN o_custkey % 2 = 0 THEN 's' || o_custkey END) AS project_id, o_custkey % 3 <> 0 AND o_custkey % 2 <> 0 AS missing FROM (SELECT DISTINCT o_custkey FROM orders)""")
+def project_lookup(spark, t):
+    c = t("orders").select("o_custkey").distinct().select(F.col("o_custkey").cast("string").alias("ntsb_number"), "o_custkey")
+    a = c.select("ntsb_number", F.when(F.col("o_custkey") % 3 == 0, F.concat(F.lit("i"), "ntsb_number")).otherwise(" ").alias("project_id"))
+    b = c.where("o_custkey % 2 = 0").select("ntsb_number", F.concat(F.lit("s"), "ntsb_number").alias("project_id"))
+    return cases.project_ids(c.select("ntsb_number"), a, b)
+
+
+# --- registration ---------------------------------------------------------------------------------------------------
+
+
+@query("""WITH d AS (SELECT doc_id, sha256(text) AS b, source, min(doc_id) FILTER (source <> 'src1') OVER (PARTITION BY sha256(text)) AS f FROM documents)
+SELECT doc_id AS line_no, CASE WHEN source = 'src1' THEN 'unsupported' WHEN doc_id > f THEN 'duplicate_blob' WHEN doc_id % 11 = 0 THEN 'missing' WHEN doc_id % 13 = 0 THEN 'hash_mismatch' ELSE 'inserted' END AS outcome FROM d""")
+def register_first_blob(spark, t):
+    from caseloom.schemas import empty
+
+    k = F.col("doc_id")
+    digest = F.sha2("text", 256)
+    rows = t("documents").select(k.alias("line_no"), digest.alias("blob_sha256"), F.concat(F.lit("p/"), k).alias("blob_path"), F.when(F.col("source") == "src1", "text/html").otherwise("application/pdf").alias("media_type"), F.when(k % 11 != 0, F.concat(F.lit("/r/"), k)).alias("raw_path"), F.when(k % 13 == 0, "other").otherwise(digest).alias("found_sha256"), F.lit(1).cast("long").alias("file_size"))
+    return registry.registration_outcomes(rows, empty(spark, "documents")).select("line_no", "outcome")
+
+
+@query("""WITH d AS (SELECT text, min('f' || lpad(CAST(doc_id AS VARCHAR), 9, '0')) AS f FROM documents GROUP BY text)
+SELECT 'f' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS path, CASE WHEN f = 'f' || lpad(CAST(doc_id AS VARCHAR), 9, '0') THEN 'inserted' ELSE 'skipped_by_sha' END AS outcome FROM documents JOIN d USING (text)""")
+def scan_registration(spark, t):
+    from caseloom.schemas import empty
+
+    f = t("documents").select(F.concat(F.lit("f"), F.format_string("%09d", "doc_id")).alias("path"), F.sha2("text", 256).alias("sha256"), F.col("n_chars").alias("file_size"))
+    return registry.scan_registration(f, empty(spark, "documents")).select("path", "outcome")
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars < 300 AND n_chars % 2 = 0 THEN 'pending' ELSE 'completed' END AS status, CASE WHEN n_chars < 300 AND n_chars % 2 = 0 THEN 'ocr' ELSE 'extraction' END AS stage FROM documents""")
+def work_queue(spark, t):
+    d = t("documents").withColumn("s", F.when(F.col("n_chars") % 2 == 0, registry.after_extraction(F.col("text"), 300, True)).otherwise(registry.after_extraction(F.col("text"), 300, False)))
+    return d.select("doc_id", "s.status", "s.stage")
+
+
+# --- certification --------------------------------------------------------------------------------------------------
+
+
+@query("SELECT coalesce(l.toxic::VARCHAR, 'unknown') AS value, count(*) AS n FROM documents LEFT JOIN labels l USING (doc_id) GROUP BY 1")
+def stage_distribution(spark, t):
+    return certify.distribution(t("documents").join(t("labels"), "doc_id", "left"), "toxic")
+
+
+@query("""SELECT (SELECT count(*) - count(DISTINCT text) FROM documents) AS duplicate_count, (SELECT sum((quality IS NULL)::INT + (toxic IS NULL)::INT) FROM documents LEFT JOIN labels USING (doc_id)) AS missing_count""")
+def stage_quality(spark, t):
+    d = t("documents").join(t("labels"), "doc_id", "left")
+    return certify.duplicate_keys(t("documents"), "text").join(certify.missing_fields(d, ["quality", "toxic"]))
+
+
+@query("SELECT count(*) AS evaluated, count(*) FILTER (n_nationkey % 2 = 0) AS passed, count(*) FILTER (n_nationkey % 2 <> 0) AS failed, count(*) FILTER (n_regionkey = 1) AS warnings FROM nation")
+def rule_summary(spark, t):
+    return certify.rule_summary(t("nation").select(F.col("n_name").alias("rule_id"), F.when(F.col("n_regionkey") == 1, "warning").otherwise("error").alias("severity"), (F.col("n_nationkey") % 2 == 0).alias("passed")))
+
+
+@query("""SELECT count(*) AS record_count, sha256('[' || string_agg('{"k":' || n_nationkey || ',"n":"' || n_name || '"}', ',' ORDER BY '{"k":' || n_nationkey || ',"n":"' || n_name || '"}') || ']') AS digest FROM nation""")
+def logical_digest(spark, t):
+    return certify.logical_digest(t("nation"), I.canonical_json({"k": F.col("n_nationkey"), "n": F.col("n_name")}, ascii_only=True))
+
+
+@query("SELECT count(*) AS records_seen, count(*) FILTER (toxic = 0) AS records_completed, count(*) FILTER (toxic = 0 AND quality = 1) AS records_succeeded, count(*) FILTER (toxic = 1) AS records_failed, count(*) FILTER (toxic = 0 AND quality = 0) AS records_skipped FROM labels")
+def stage_counts(spark, t):
+    o = F.when(F.col("toxic") == 1, "failed").when(F.col("quality") == 0, "reused").otherwise("ok")
+    return certify.stage_counts(t("labels").select(o.alias("outcome")))
+
+
+# --- atomic claims --------------------------------------------------------------------------------------------------
+
+
+@query(f"""SELECT 'status' AS measure, 'ok' AS value, count(*) AS n FROM ({SPAN_SQL}) UNION ALL SELECT 'assertion_mode', 'stated', count(*) FROM ({SPAN_SQL}) UNION ALL SELECT 'polarity', 'affirmed', count(*) FROM ({SPAN_SQL}) UNION ALL SELECT 'claim_type', 'statement', count(*) FROM ({SPAN_SQL})""")
+def atomic_fake(spark, t):
+    return atomic.distributions(atomic.stated_claims(_document_spans(t)))
+
+
+@query("""SELECT * FROM (VALUES ('s1', ''), ('s2', 'duplicate_claim_id'), ('s3', 'unprocessable_without_reason'), ('s4', 'unknown_claim_link'), ('s5', 'causal_language_missing'), ('s6', ''), ('s7', 'ok_without_claims'), ('s8', 'unknown_span')) v(sentence_span_id, violations)""")
+def atomic_validation(spark, t):
+    from caseloom.schemas import ATOMIC_RESULT
+
+    c = lambda i, x="text": (i, x, "stated", "affirmed", "statement", False)
+    rows = [("s1", "ok", [c("a")], [], [], []), ("s2", "ok", [c("a"), c("a")], [], [], []), ("s3", "unprocessable", [], [], [], []), ("s4", "ok", [c("a")], [("events", "e", ["z"])], [], []), ("s5", "ok", [c("a")], [("causal_factors", "e", ["a"])], [], []), ("s6", "ok", [c("a", "it was due to rain")], [("causal_factors", "e", ["a"])], [], []), ("s7", "ok", [], [], [], []), ("s8", "ok", [c("a")], [], [], [])]
+    known = spark.createDataFrame([(f"s{k}", "plain") for k in range(1, 8)], "sentence_span_id string, sentence_text string")
+    return atomic.validate_results(spark.createDataFrame(rows, ATOMIC_RESULT), known).select("sentence_span_id", F.array_join("violations", ",").alias("violations"))
+
+
+@query("SELECT doc_id, " + " OR ".join(f"contains(lower(text), '{m}')" for m in ("because", "caused", "causes", "cause", "due to", "led to", "resulted in", "contributed to", "as a result", "probable cause")) + " AS causal FROM documents")
+def causal_language(spark, t):
+    none = F.array().cast("array<struct<atomic_claim_id:string,claim_text:string>>")
+    return t("documents").select("doc_id", atomic.causal_language(F.col("text"), none, F.array().cast("array<string>")).alias("causal"))
+
+
+# --- pages ----------------------------------------------------------------------------------------------------------
+
+
+@query()
+def html_links(spark, t):
+    p = t("pages").select("page_id", html.parsed(F.col("html")).alias("p"))
+    return p.select("page_id", F.size("p.tables").alias("n_tables"), F.size("p.lists").alias("n_lists"), F.size("p.forms").alias("n_forms"))
+
+
+DOCKET = "<dl><dt>Created</dt><dd>1/2/2020</dd><dt>Created</dt><dd>3/4/2020</dd></dl><table><tr><th>#</th><th>Title</th><th>Type</th></tr><tr><td>2</td><td>Factual&nbsp;Report</td><td>PDF 12 pages</td><td><a href='/d/2.pdf'>v</a></td></tr><tr><td>1</td><td>Photo set</td><td>JPG</td><td><a href='/d/1.jpg'>v</a></td></tr><tr><td></td><td>Letter</td><td></td><td><a href='x?FileExtension=pdf'>v</a></td></tr></table>"
+
+
+@query("""SELECT * FROM (VALUES (2, 2, 'Factual Report', 12, 'factual_report', 'http://h/d/2.pdf'), (4, NULL, 'Letter', NULL, 'letter', 'http://h/a/x?FileExtension=pdf')) v(row_index, ordinal, title, page_count, normalized_title_slug, view_url)""")
+def docket_table_parse(spark, t):
+    pages = spark.createDataFrame([("n", "http://h/a/b", DOCKET)], "ntsb_number string, public_url string, html string")
+    return html.docket_items(pages).select("row_index", "ordinal", "title", "page_count", "normalized_title_slug", "view_url")
