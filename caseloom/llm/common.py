@@ -33,7 +33,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("parquet.writer.version", "v2").parquet(path)  # v2 delta-encodes ids and offsets
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

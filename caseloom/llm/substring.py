@@ -125,14 +125,25 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out, size = [], 0
             for row_id, text, anchors_ in zip(batch["row_id"], batch["text"], batch["anchors"], strict=True):
                 _, h = word_hashes(text)
                 starts = candidate_starts(len(h), np.asarray(anchors_, np.int64), length)
-                for a in range(0, len(starts), 1 << 18):
-                    s = starts[a : a + (1 << 18)]
-                    yield pd.DataFrame({"row_id": row_id, "at": s.astype(np.int32), "h1": run_hashes(h, length, B1)[s].view(np.int64), "h2": run_hashes(h, length, B2)[s].view(np.int64)})
-
-    candidates = docs.select("row_id", "text").join(found, "row_id").mapInPandas(runs, "row_id long, at int, h1 long, h2 long")
+                one, two = run_hashes(h, length, B1), run_hashes(h, length, B2) >> np.uint64(32)
+                for a in range(0, len(starts), 1 << 16):
+                    s = starts[a : a + (1 << 16)]
+                    out.append((np.full(len(s), row_id), s.astype(np.int32), one[s].view(np.int64), two[s].astype(np.uint32).view(np.int32)))
+                    size += len(s)
+                    if size >= 1 << 16:
+                        yield frame(out)
+                        out, size = [], 0
+            if out:
+                yield frame(out)
+
+    def frame(parts: list) -> pd.DataFrame:
+        return pd.DataFrame(dict(zip(("row_id", "at", "h1", "h2"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+
+    candidates = docs.select("row_id", "text").join(found, "row_id").mapInPandas(runs, "row_id long, at int, h1 long, h2 int")
     candidates = materialize(candidates, "runs")
     discard(found)
     release_shuffles(spark)
@@ -155,18 +166,29 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship_package(spark)
     small_batches(spark)
     rows, key = numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
-    starts = removals(rows.select(key.alias("row_id"), "text"), length)
+    rows = rows.withColumn("row_id", key)
+    # Equal texts repeat every run they have: each goes whole. One stands for them where others' runs are looked up.
+    keys = materialize(rows.select("row_id", F.sha2("text", 256).alias("digest")).where("digest is not null"), "digests")
+    groups = keys.groupBy("digest").agg(F.count("*").alias("n"), F.min("row_id").alias("first")).where("n > 1")
+    copies = materialize(keys.join(groups, "digest").select("row_id", (F.col("row_id") == F.col("first")).alias("first")), "copies")
+    discard(keys)
+    release_shuffles(spark)
+    starts = removals(rows.join(copies.where("not first"), "row_id", "left_anti").select("row_id", "text"), length)
+    known = starts.join(copies.select("row_id", F.lit(True).alias("whole")), "row_id", "full")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, at in zip(batch["text"], batch["starts"], strict=True):
+            for text, at, whole in zip(batch["text"], batch["starts"], batch["whole"], strict=True):
                 words = text.encode("utf-8", "replace").split() if text else []
-                n, kept = (0, b" ".join(words)) if at is None else keep_words(words, np.asarray(at, np.int64), length)
+                if whole is True and len(words) >= length:
+                    n, kept = len(words), b""
+                else:
+                    n, kept = (0, b" ".join(words)) if at is None else keep_words(words, np.asarray(at, np.int64), length)
                 out.append((len(words), n, kept.decode("utf-8", "replace")))
             yield pd.concat([batch[["doc_id"]].astype("Int64").reset_index(drop=True), pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])], axis=1)
 
-    return rows.withColumn("row_id", key).join(starts, "row_id", "left").select("doc_id", "text", "starts").mapInPandas(finish, "doc_id long, n_words long, n_removed long, kept string")
+    return rows.join(known, "row_id", "left").select("doc_id", "text", "starts", "whole").mapInPandas(finish, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def numbered(rows: DataFrame):
