@@ -14,25 +14,29 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.text import normalize_case_number
 
-_ESCAPED = re.compile(r"[^\x00-\x7e]")
+_TOKEN = re.compile(r"\\u00[0-9A-F]{2}|\\.|[^\x00-\x7e]")
 
 
-def _unit(match: re.Match) -> str:
-    raw = match.group().encode("utf-16-be", "surrogatepass")
+def _token(match: re.Match) -> str:
+    """An escape of a control character in lower case, another escape as it is, a character beyond ASCII escaped."""
+    found = match.group()
+    if found[0] == "\\":
+        return found.lower() if found.startswith("\\u00") else found
+    raw = found.encode("utf-16-be", "surrogatepass")
     return "".join(f"\\u{raw[i]:02x}{raw[i + 1]:02x}" for i in range(0, len(raw), 2))
 
 
 def _ascii(values: pd.Series) -> pd.Series:
-    return values.map(lambda x: _ESCAPED.sub(_unit, x), na_action="ignore")
+    return values.map(lambda x: _TOKEN.sub(_token, x), na_action="ignore")
 
 
 def ascii_json(json: Column) -> Column:
-    return F.coalesce(F.pandas_udf(_ascii, "string")(F.when(json.rlike(r"[^\x00-\x7E]"), json)), json)
+    return F.coalesce(F.pandas_udf(_ascii, "string")(F.when(json.rlike(r"[^\x00-\x7E]|\\u00"), json)), json)
 
 
 def canonical_json(fields: dict[str, Column], ascii_only: bool = False) -> Column:
-    """JSON object of ``fields`` with sorted keys; nulls stay as null. ``ascii_only`` promises ASCII values, which
-    leaves the whole expression in the JVM."""
+    """JSON object of ``fields`` with sorted keys; nulls stay as null. ``ascii_only`` promises printable ASCII values,
+    which leaves the whole expression in the JVM."""
     json = F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
     return json if ascii_only else ascii_json(json)
 

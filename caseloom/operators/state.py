@@ -104,11 +104,10 @@ def replace_items(current: DataFrame, observed: DataFrame, seen_at: str, run_id:
         F.coalesce("o.first_seen_at", F.lit(seen_at)).alias("first_seen_at"),
         F.when(got, F.lit(seen_at)).otherwise(F.col("o.last_seen_at")).alias("last_seen_at"),
         F.when(got | gone, F.lit(run_id)).otherwise(F.col("o.last_run_id")).alias("last_run_id"),
-        outcome.alias("outcome"),
+        F.coalesce("n.__ok", outcome).alias("outcome"),
         renamed.alias("replaced"),
         F.when(renamed, F.col("o.docket_item_id")).alias("old_item_id"),
-        F.when(F.col("n.__ok").isNotNull(), True).alias("__checked"),
-    ).drop("__checked")
+    )
 
 
 def replace_counts(merged: DataFrame) -> DataFrame:

@@ -114,12 +114,12 @@ def sections(lines: DataFrame) -> DataFrame:
 
 
 def report_structure(docs: DataFrame, headings: dict[str, str] = R.HEADINGS) -> DataFrame:
-    """One row per document: title, ordered sections, probable cause, recommendations, statistics. Documents without a
-    section have an empty map."""
+    """One row per document: title, sections in their order (an array of pairs, as a map has no order), probable cause,
+    recommendations, statistics. Documents without a section have none."""
     lines = line_assignments(docs, headings)
     titles = lines.where("kind = 'title'").select("doc_id", strip(F.col("text")).alias("title"))
     found = sections(lines).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("section_rank", "section_key", "text"))).alias("s"))
     value = lambda k: F.get(F.transform(F.filter("s", lambda x: x["section_key"] == k), lambda x: x["text"]), F.lit(0))
-    named = F.coalesce(F.map_from_entries(F.transform("s", lambda x: F.struct(x["section_key"], x["text"]))), F.create_map().cast("map<string,string>"))
+    named = F.coalesce(F.transform("s", lambda x: F.struct(x["section_key"].alias("section_key"), x["text"].alias("text"))), F.array().cast("array<struct<section_key:string,text:string>>"))
     out = docs.select("doc_id", F.char_length("text").alias("source_text_length")).join(titles, "doc_id", "left").join(found, "doc_id", "left")
     return out.select("doc_id", "title", named.alias("sections"), clean_optional(value("probable_cause")).alias("probable_cause"), F.coalesce(clean_optional(value("recommendations")), clean_optional(value("what_we_recommended"))).alias("recommendations"), F.struct("source_text_length", F.coalesce(F.size("s"), F.lit(0)).alias("section_count")).alias("stats"))

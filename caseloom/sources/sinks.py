@@ -92,15 +92,15 @@ def swap_snapshot(spark: SparkSession, df: DataFrame, folder: str, name: str, ru
     """Write a table's next snapshot and move its pointer. The snapshot being read is never overwritten."""
     path = f"{folder}/{name}/{run_id}"
     df.write.mode("errorifexists").parquet(path)
-    write_atomic(spark, f"{folder}/{name}/_current", path)
+    write_atomic(spark, f"{folder}/{name}/CURRENT", path)
     return spark.read.parquet(path)
 
 
 def read_snapshot(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
     """The table's current snapshot, or an empty table."""
-    if not exists(spark, f"{folder}/{name}/_current"):
+    if not exists(spark, f"{folder}/{name}/CURRENT"):
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(read_small(spark, f"{folder}/{name}/_current").strip())
+    return spark.read.parquet(read_small(spark, f"{folder}/{name}/CURRENT").strip())
 
 
 def sentinel(spark: SparkSession, run_dir: str, certified: bool, text: str) -> None:
