@@ -48,7 +48,7 @@ def line_assignments(docs: DataFrame, headings: dict[str, str] = R.HEADINGS) ->
     clash = [h for h in headings if h in R.STOP_HEADINGS or h.startswith(R.STOP_PREFIXES)]
     if clash:
         raise ValueError(f"headings that are also stops: {clash}")
-    lines = docs.select("doc_id", F.posexplode(split_lines(F.col("text"))).alias("line_index", "text"))
+    lines = docs.select("doc_id", F.posexplode_outer(split_lines(F.col("text"))).alias("line_index", "text")).where("text is not null")
     lines = lines.withColumn("heading", normalize_heading(F.col("text")))
     doc = Window.partitionBy("doc_id")
     order = doc.orderBy("line_index")
