@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.identity import document_id
@@ -44,19 +44,19 @@ def registration_outcomes(resolved: DataFrame, documents: DataFrame, allowed: tu
     """Outcome of every manifest row, in the fixed order of tests: unsupported type, duplicate blob (a later line of
     the manifest with the same blob), missing file, hash mismatch, known path (conflict, backfill or skip), known
     content (backfill or skip), insert. ``resolved``: hand-off columns with line_no, raw_path, found_sha256,
-    file_size. The duplicate test ranks supported rows only; a blob's rows are combined by a minimum of line numbers,
-    not by a window, so a blob shared by a third of all rows is no hot task."""
+    file_size. The duplicate test ranks supported rows only. A blob's first line is a combined minimum, joined back by
+    blob and line, so a blob shared by a third of all rows is no hot task."""
     typed = resolved.withColumn("doc_type", document_kind(F.col("media_type"), F.col("blob_path")))
     supported = F.col("doc_type").isin(*allowed)
-    first = typed.where(supported).groupBy("blob_sha256").agg(F.min("line_no").alias("__first"))
+    first = typed.where(supported).groupBy("blob_sha256").agg(F.min("line_no").alias("line_no")).withColumn("__first", F.lit(True))
     by_path = documents.select(F.col("raw_path").alias("__path"), F.col("sha256").alias("__path_sha"), F.struct(*RECONCILED).alias("__path_row"))
     by_sha = documents.select(F.col("sha256").alias("__sha"), F.struct(*RECONCILED).alias("__sha_row"))
-    j = typed.join(first, "blob_sha256", "left").join(by_path, F.col("raw_path") == F.col("__path"), "left").join(by_sha, F.col("found_sha256") == F.col("__sha"), "left")
+    j = typed.join(first, ["blob_sha256", "line_no"], "left").join(by_path, F.col("raw_path") == F.col("__path"), "left").join(by_sha, F.col("found_sha256") == F.col("__sha"), "left")
     compared = [c for c in RECONCILED if c in typed.columns]
     differs = lambda row: reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"{row}.{c}")) for c in compared])
     outcome = (
         F.when(~supported, "unsupported")
-        .when(F.col("line_no") > F.col("__first"), "duplicate_blob")
+        .when(F.col("blob_sha256").isNotNull() & F.col("__first").isNull(), "duplicate_blob")
         .when(F.col("raw_path").isNull(), "missing")
         .when(F.col("found_sha256") != F.col("blob_sha256"), "hash_mismatch")
         .when(F.col("__path").isNotNull() & (F.col("__path_sha") != F.col("found_sha256")), "path_conflict")
@@ -76,11 +76,11 @@ def registration_stats(outcomes: DataFrame) -> DataFrame:
 def scan_registration(files: DataFrame, documents: DataFrame) -> DataFrame:
     """Fallback over a file listing (path, sha256, file_size): outcome per file, in path order. Of files with equal
     content the first path is inserted and the others are skipped, as is content or a path already known."""
-    first = files.groupBy("sha256").agg(F.min("path").alias("__first"))
+    first = files.groupBy("sha256").agg(F.min("path").alias("path")).withColumn("__first", F.lit(True))
     known = documents.select(F.col("raw_path").alias("path")).distinct().withColumn("__path", F.lit(True))
     content = documents.select("sha256").distinct().withColumn("__sha", F.lit(True))
-    j = files.join(first, "sha256").join(known, "path", "left").join(content, "sha256", "left")
-    outcome = F.when(F.col("__path"), "skipped_by_path").when(F.col("__sha") | (F.col("path") != F.col("__first")), "skipped_by_sha").otherwise("inserted")
+    j = files.join(first, ["sha256", "path"], "left").join(known, "path", "left").join(content, "sha256", "left")
+    outcome = F.when(F.col("__path"), "skipped_by_path").when(F.col("__sha").isNotNull() | F.col("__first").isNull(), "skipped_by_sha").otherwise("inserted")
     return j.withColumn("outcome", outcome).select("path", "sha256", "file_size", "outcome", document_id(F.col("sha256")).alias("doc_id"))
 
 
@@ -120,8 +120,8 @@ def finalise(documents: DataFrame, outcomes: DataFrame, processed_at: str) -> Da
 
 
 def first_rows(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """First row of each key by ``order``."""
-    return rows.withColumn("__k", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("__k = 1").drop("__k")
+    """First row of each key by ``order``; a combined minimum, so a frequent key is no hot task."""
+    return rows.groupBy(F.col(key).alias("__key")).agg(F.min_by(F.struct("*"), F.col(order)).alias("r")).select("r.*")
 
 
 def todo(inputs: DataFrame, outputs: DataFrame, key: str, overwrite: bool = False) -> tuple[DataFrame, DataFrame]:

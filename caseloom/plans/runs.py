@@ -46,7 +46,7 @@ class Run:
     def seen_at(self) -> str:
         return self.started.strftime("%Y-%m-%dT%H:%M:%SZ")
 
-    def finish(self, outputs: DataFrame, failures: DataFrame, counts: DataFrame, json_column, rules: list[tuple] = (), distributions: dict[str, DataFrame] | None = None, upstream: dict | None = None, max_failures: int = 0, max_rate: float = 0.0, short_envelope: bool = False) -> dict:
+    def finish(self, outputs: DataFrame, failures: DataFrame, counts: DataFrame, json_column, rules: list[tuple] = (), distributions: dict[str, DataFrame] | None = None, upstream: dict | None = None, max_failures: int = 0, max_rate: float = 0.0, short_envelope: bool = False, input_digest: str | None = None) -> dict:
         """Write outputs and failures, evaluate all rules, publish the summary and then the sentinel."""
         outputs.write.mode("overwrite").parquet(f"{self.dir}/outputs")
         failures.write.mode("overwrite").json(f"{self.dir}/failures")
@@ -56,6 +56,10 @@ class Run:
         failed = self.spark.read.schema(failures.schema).json(f"{self.dir}/failures").count()
         every = certify.envelope(n, failed, [self.config_digest, self.runtime_digest, d.digest], max_failures=max_failures, max_rate=max_rate, deterministic=not short_envelope)
         every += list(rules)
+        if input_digest is not None:  # the same input must have given the same output before
+            prior = [x for x in summaries(self.spark, self.root) if x["stage_name"] == self.stage and x["status"] == "certified" and x.get("input_digest") == input_digest and x["config_digest"] == self.config_digest]
+            agrees = all(x["output_digest"] == d.digest for x in prior)
+            every.append(("reproducible", "error", agrees, f"{len(prior)} earlier runs over this input"))
         summary = certify.rule_summary(certify.as_rules(self.spark, every)).first().asDict()
         blocking = [r[0] for r in every if r[1] == "error" and not r[2]]
         ended = datetime.now(UTC)
@@ -63,7 +67,7 @@ class Run:
         out = n | {
             "run_id": self.run_id, "stage_name": self.stage, "status": "failed" if blocking else "certified", "sentinel": True, "run_dir": self.dir,
             "started_at": self.seen_at, "ended_at": ended.strftime("%Y-%m-%dT%H:%M:%SZ"), "certified_at": None if blocking else ended.strftime("%Y-%m-%dT%H:%M:%SZ"),
-            "output_count": d.record_count, "output_digest": d.digest, "config_digest": self.config_digest, "runtime_digest": self.runtime_digest, "code_version": self.code_version,
+            "output_count": d.record_count, "output_digest": d.digest, "input_digest": input_digest, "config_digest": self.config_digest, "runtime_digest": self.runtime_digest, "code_version": self.code_version,
             "records_per_second": round(n["records_seen"] / seconds, 6) if seconds else 0.0, "rules": summary, "blocking": blocking, "upstream_run_id": (upstream or {}).get("run_id"),
             "distributions": {k: {r[0]: r[1] for r in sorted(v.collect())} for k, v in (distributions or {}).items()},
         }

@@ -80,7 +80,8 @@ def sentence_spans(run: Run, documents: DataFrame, method: str = "unknown", ocr_
     twice = certify.duplicate_keys(rows, "sentence_span_id").first()[0]
     counts = certify.stage_counts(_outcomes(done.where("text is not null"), failures))
     rules = [("indexes_sequential", "error", broken == 0, f"{broken}"), ("no_duplicate_spans", "error", twice == 0, f"{twice}")]
-    return run.finish(rows, failures, counts, _whole(rows), rules=rules, short_envelope=True)
+    seen = certify.set_digest(done, F.to_json(F.struct("doc_id", F.sha2("text", 256).alias("text")))).first().digest
+    return run.finish(rows, failures, counts, _whole(rows), rules=rules, short_envelope=True, input_digest=seen)
 
 
 def atomic_claims(run: Run, span_rows: DataFrame, transformer, per_row: bool = False, upstream_root: str | None = None) -> dict:

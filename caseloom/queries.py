@@ -394,3 +394,143 @@ DOCKET = "<dl><dt>Created</dt><dd>1/2/2020</dd><dt>Created</dt><dd>3/4/2020</dd>
 def docket_table_parse(spark, t):
     pages = spark.createDataFrame([("n", "http://h/a/b", DOCKET)], "ntsb_number string, public_url string, html string")
     return html.docket_items(pages).select("row_index", "ordinal", "title", "page_count", "normalized_title_slug", "view_url")
+
+
+# --- more joins, plans and predicates -------------------------------------------------------------------------------
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'copy' WHEN o_orderkey % 3 = 1 THEN 'reuse' ELSE 'conflict' END AS action,
+  o_custkey || '/' || 'i' || o_orderkey || '__' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 16) || '.pdf' AS promoted_path FROM orders""")
+def promotion_plan(spark, t):
+    k = F.col("o_orderkey")
+    digest = F.sha2(k.cast("string"), 256)
+    s = t("orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("ntsb_number"), F.concat(F.lit("i"), k).alias("docket_item_id"), digest.alias("blob_sha256"))
+    there = s.where(k % 3 != 0).select(I.promoted_path(F.col("ntsb_number"), F.col("docket_item_id"), F.col("blob_sha256")).alias("promoted_path"), F.when(k % 3 == 1, F.col("blob_sha256")).otherwise("other").alias("sha256"))
+    return cases.promotion_plan(s, there).select("o_orderkey", "action", "promoted_path")
+
+
+@query("""SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS docket_item_id, printf('%03d', l_partkey) || '_slug' || CASE l_linenumber % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.html' WHEN 2 THEN '.zip' ELSE '.bin' END AS file_name FROM lineitem""")
+def case_view_names(spark, t):
+    n = F.col("l_linenumber") % 4
+    s = t("lineitem").select(F.lit("c").alias("ntsb_number"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("docket_item_id"), F.col("l_partkey").alias("ordinal"), F.lit("slug").alias("normalized_title_slug"), F.when(n == 0, "http://h/a.pdf?x=1").otherwise("http://h/a").alias("source_url"), F.when(n == 1, "text/html; charset=utf-8").alias("media_type"), F.when(n == 2, "b.zip").otherwise("b").alias("blob_path"))
+    return cases.case_view(s).select("docket_item_id", "file_name")
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS docket_item_id, o_orderkey % 2 = 0 AND (o_orderkey % 3 <> 0) AND o_orderkey % 5 <> 0 AS reuse FROM orders WHERE o_orderkey % 7 <> 0""")
+def download_plan(spark, t):
+    k = F.col("o_orderkey")
+    items = t("orders").select(k.cast("string").alias("docket_item_id"), F.lit(True).alias("is_active"), F.when(k % 7 != 0, k % 7 > 0).alias("selection_selected"), F.when(k % 4 != 0, F.lit("f")).alias("source_fingerprint"))
+    d = t("orders").where(k % 2 == 0).select(k.cast("string").alias("docket_item_id"), F.when(k % 3 == 0, "other").otherwise(F.when(k % 4 != 0, F.lit("f"))).alias("source_fingerprint"), F.concat(F.lit("p"), k).alias("blob_path"))
+    stored = t("orders").where(k % 5 != 0).select(F.concat(F.lit("p"), k).alias("blob_path"))
+    return cases.download_plan(items, d, stored).select("docket_item_id", "reuse")
+
+
+@query("""WITH n AS (SELECT sha256(text) AS h, min(doc_id) AS k FROM documents GROUP BY text)
+SELECT h AS blob_sha256, CASE WHEN k % 2 = 0 THEN 't1' ELSE 't2' END AS first_downloaded_at, CASE WHEN k % 2 = 0 THEN 'r1' ELSE 'r2' END AS first_run_id, CASE WHEN k % 3 = 0 AND k % 2 = 0 THEN 't1' ELSE 't2' END AS last_verified_at FROM n WHERE k % 2 = 0 OR k % 3 <> 0""")
+def blob_registry(spark, t):
+    n = t("documents").groupBy(F.sha2("text", 256).alias("blob_sha256")).agg(F.min("doc_id").alias("k"))
+    full = n.select("blob_sha256", "k", F.lit("p").alias("blob_path"), F.lit("m").alias("media_type"), F.lit(1).cast("long").alias("size_bytes"))
+    old = full.where("k % 2 = 0").withColumns({"first_downloaded_at": F.lit("t1"), "first_run_id": F.lit("r1"), "last_verified_at": F.lit("t1")})
+    return state.register_blobs(old, full.where("k % 3 <> 0"), "t2", "r2").select("blob_sha256", "first_downloaded_at", "first_run_id", "last_verified_at")
+
+
+@query("""WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS a FROM orders WHERE o_orderkey % 3 <> 0), n AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS a FROM orders WHERE o_orderkey % 4 <> 0)
+SELECT coalesce(n.k, o.k) AS k, coalesce(n.a, o.a) AS a, CASE WHEN n.k IS NULL THEN 't1' ELSE 't2' END AS at, CASE WHEN n.k IS NOT NULL THEN o.k IS NULL OR o.a IS DISTINCT FROM n.a END AS changed FROM o FULL JOIN n ON o.k = n.k""")
+def download_events(spark, t):
+    n = F.col("o_orderkey")
+    o = t("orders").select(n.cast("string").alias("k"), F.col("o_orderstatus").alias("a"), "o_orderkey")
+    old = o.where(n % 3 != 0).select("k", "a", F.lit("t1").alias("at"), F.lit("r1").alias("last_run_id"))
+    new = o.where(n % 4 != 0).select("k", F.when(n % 5 == 0, "X").otherwise(F.col("a")).alias("a"))
+    return state.merge_events(old, new, "k", ("a",), "at", "t2", "r2").select("k", "a", "at", "changed")
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS docket_item_id, CASE WHEN o_orderkey % 2 = 0 THEN true END AS selection_selected, CASE WHEN o_orderkey % 2 = 0 THEN 'r2' ELSE 'r1' END AS last_run_id FROM orders""")
+def selection_update(spark, t):
+    none = F.lit(None).cast("string")
+    now = t("orders").select(F.col("o_orderkey").cast("string").alias("docket_item_id"), F.lit(None).cast("boolean").alias("selection_selected"), none.alias("selection_rule_version"), none.alias("selection_matched_rules_json"), none.alias("selection_rationale"), F.lit("t1").alias("last_seen_at"), F.lit("r1").alias("last_run_id"))
+    new = now.where(F.col("docket_item_id").cast("long") % 2 == 0).withColumn("selection_selected", F.lit(True))
+    return state.apply_selection(now, new, "t2", "r2").select("docket_item_id", "selection_selected", "last_run_id")
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'pdf' WHEN page_id % 3 = 1 THEN 'txt' ELSE 'unknown' END AS kind, CASE WHEN page_id % 3 = 1 THEN 'a' WHEN page_id % 2 = 0 THEN 'ntsb' END AS jurisdiction, page_id % 3 = 0 AND page_id % 5 <> 0 AS ok FROM pages""")
+def source_predicates(spark, t):
+    k = F.col("page_id")
+    media = F.when(k % 3 == 0, F.when(k % 5 == 0, "application/pdf; v=1").otherwise("Application/PDF"))
+    path = F.when(k % 3 == 1, "a/b/x.TXT").otherwise("x")
+    return t("pages").select("page_id", registry.document_kind(media, path).alias("kind"), registry.jurisdiction(path, k % 2 == 0).alias("jurisdiction"), F.coalesce(registry.ok_media(media, F.concat(F.lit("i"), k)), F.lit(False)).alias("ok"))
+
+
+@query("SELECT CASE WHEN doc_id % 2 = 0 THEN 'reused' ELSE 'todo' END AS part, count(*) AS n FROM documents GROUP BY 1")
+def reuse_split(spark, t):
+    d = t("documents").select("doc_id")
+    todo, reused = registry.todo(d, d.where("doc_id % 2 = 0"), "doc_id")
+    count = lambda x, part: x.agg(F.count("*").alias("n")).select(F.lit(part).alias("part"), "n")
+    return count(todo, "todo").unionByName(count(reused, "reused"))
+
+
+@query("SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source")
+def first_rows(spark, t):
+    return registry.first_rows(t("documents").select("source", "doc_id"), "source", "doc_id")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'completed' ELSE 'pending' END AS status, CASE WHEN doc_id % 2 = 0 THEN 't2' ELSE 't1' END AS last_processed_at FROM documents")
+def finalise_documents(spark, t):
+    d = t("documents").select("doc_id", F.lit("pending").alias("status"), F.lit("t1").alias("last_processed_at"))
+    return registry.finalise(d, d.where("doc_id % 2 = 0").select("doc_id", F.lit("completed").alias("status"), F.lit("x").alias("unknown_column")), "t2")
+
+
+@query("SELECT doc_id, n_chars AS n FROM documents")
+def narrative_text_length(spark, t):
+    return t("documents").select("doc_id", narrative.text_length(F.regexp_replace("text", "\n", "\r\n")).cast("long").alias("n"))
+
+
+@query("SELECT doc_id, (CASE WHEN toxic = 1 THEN 'title_missing,' ELSE '' END) || CASE WHEN quality = 0 THEN 'ordinal_missing' ELSE '' END AS violations FROM labels")
+def handoff_violations(spark, t):
+    x = F.lit("x")
+    r = t("labels").select("doc_id", *[x.alias(c) for c in ("project_id", "ntsb_number", "docket_item_id", "view_url", "source_url", "blob_sha256", "blob_path", "media_type")], F.when(F.col("toxic") == 0, x).otherwise(" ").alias("title"), F.when(F.col("quality") == 1, 1).alias("ordinal"))
+    codes = F.array_join(atomic.handoff_violations(), ",")
+    return r.select("doc_id", F.when(codes == "title_missing", "title_missing,").otherwise(codes).alias("violations"))
+
+
+@query("SELECT l_orderkey % 100 AS k, count(*) AS seen, count(*) FILTER (l_linenumber = 7) AS failed, count(*) FILTER (l_linenumber = 7) <= 20 AND count(*) FILTER (l_linenumber = 7) / count(*)::DOUBLE <= 0.03 AS ok FROM lineitem GROUP BY 1")
+def failure_threshold(spark, t):
+    g = t("lineitem").groupBy((F.col("l_orderkey") % 100).alias("k")).agg(F.count("*").alias("seen"), F.count_if(F.col("l_linenumber") == 7).alias("failed"))
+    return g.withColumn("ok", certify.within_threshold(F.col("failed"), F.col("seen"), 20, 0.03))
+
+
+@query("SELECT o_orderpriority AS failure_key, CASE WHEN o_orderpriority = '1-URGENT' THEN 'input_missing' WHEN o_orderpriority = '2-HIGH' THEN 'contract_violation' ELSE 'unexpected_error' END AS failure_code, o_orderpriority = '1-URGENT' AS retryable, count(*) AS n FROM orders GROUP BY 1")
+def failure_codes(spark, t):
+    kind = F.when(F.col("o_orderpriority") == "1-URGENT", "missing").when(F.col("o_orderpriority") == "2-HIGH", "contract").otherwise("strange")
+    rows = certify.failure_rows(t("orders"), "r", "s", F.col("o_orderpriority"), F.col("o_orderpriority"), kind, F.lit("m"))
+    return rows.groupBy(F.col("record_id").alias("failure_key"), "failure_code", "retryable").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT * FROM (VALUES ('X1', '55', 'http://h/d?ProjectID=55', 'B')) v(ntsb_number, project_id, result_url, state_or_region)""")
+def search_result_rows(spark, t):
+    page = "<table id=resultTable><tr><th>NTSB Number</th><th>City</th><th>State/Region</th></tr><tr><td><a href='/d?ProjectID=55'>X1</a></td><td>A</td><td>B</td></tr><tr><td>X2</td><td></td><td></td></tr></table>"
+    return html.search_results(spark.createDataFrame([("http://h/s", page)], "public_url string, html string")).select("ntsb_number", "project_id", "result_url", "state_or_region")
+
+
+@query("""SELECT * FROM (VALUES ('n', 2, '3/4/2020', true)) v(ntsb_number, item_count, creation_date, has_table)""")
+def docket_rows(spark, t):
+    pages = spark.createDataFrame([("n", "http://h/a/b", DOCKET)], "ntsb_number string, public_url string, html string")
+    return html.dockets(pages, html.docket_items(pages)).select("ntsb_number", "item_count", "creation_date", "has_table")
+
+
+@query("""SELECT * FROM (VALUES ('A1', NULL, '{"city":"X"}', false), ('B2', '7', '{"city":"Z"}', false), (NULL, NULL, '{}', true)) v(ntsb_number, project_id, location_json, rejected)""")
+def index_rows(spark, t):
+    from caseloom.sources import files
+
+    body = '{"results":[{"ntsbNumber":" a 1 ","City":"X","city":"y"},{"NTSBNumber":"B2","ProjectId":"7","location":{"city":"Z"}},5,{"title":"no number"}]}'
+    return files.index_records(spark.createDataFrame([(body,)], "body string")).select("ntsb_number", "project_id", "location_json", "rejected")
+
+
+@query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http://h/a/c?x=1' ELSE 'http://h/c' END AS url FROM pages")
+def url_joins(spark, t):
+    return t("pages").select("page_id", html.url_join(F.lit("http://h/a/b"), F.when(F.col("page_id") % 2 == 0, "c?x=1").otherwise("/c")).alias("url"))
+
+
+@query("SELECT 'unknown_span' AS code, count(*) AS n FROM labels WHERE toxic = 1")
+def violation_counts(spark, t):
+    known = t("labels").select(F.col("doc_id").cast("string").alias("sentence_span_id"), F.lit("text").alias("sentence_text"), "toxic")
+    return atomic.violation_counts(atomic.validate_results(atomic.stated_claims(known), known.where("toxic = 0")))

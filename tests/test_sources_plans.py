@@ -78,7 +78,9 @@ def test_runs_from_manifest_to_claims(spark, tmp_path):
     documents = items.select(F.lit("d").alias("doc_id"), "docket_item_id", "ntsb_number", F.lit(None).cast("string").alias("case_number"), F.lit("completed").alias("status"), F.lit("extraction").alias("stage"), "text")
     assert stages.structures(Run(spark, "structure", root), documents)["status"] == "certified"
     spans = stages.sentence_spans(Run(spark, "sentence_spans", root), documents)
-    claims = cli.main(["--data", f"file://{tmp_path}/data", "atomic-extract", "--input", f"{spans['run_dir']}/outputs", "--upstream", root], spark)
+    again = stages.sentence_spans(Run(spark, "sentence_spans", root), documents)
+    assert spans["status"] == again["status"] == "certified" and spans["output_digest"] == again["output_digest"] and spans["input_digest"] == again["input_digest"]
+    claims = cli.main(["--data", f"file://{tmp_path}/data", "atomic-extract", "--input", f"{again['run_dir']}/outputs", "--upstream", root], spark)
     assert claims == 0
 
 
