@@ -15,36 +15,18 @@ import numpy as np
 
 class Shard:
     """Suffixes of ``strings`` in order: ``owner`` and ``offset`` of each, ``bwt`` (0: string start, else byte + 1),
-    ``before`` (place of the suffix one byte earlier; -1 at a string start)."""
+    ``before`` (place of the suffix one byte earlier; -1 at a string start). Each string ends in a mark that is smaller
+    than every byte; suffixes equal to their marks are in the order of their strings."""
 
     def __init__(self, strings: list[bytes]):
-        lengths = np.fromiter(map(len, strings), np.int64, len(strings)) + 1  # each string ends in a mark of its own
+        lengths = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
         n = int(lengths.sum())
         first = np.cumsum(lengths) - lengths
-        text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + 1
-        marks = first + lengths - 1
-        text[marks] = 0
+        text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
+        text[first + lengths - 1] = 0
         owner = np.repeat(np.arange(len(strings)), lengths)
-        # Six symbols make the first key; ranks then double their reach until all suffixes differ.
-        key = np.zeros(n, np.int64)
-        padded, alive = np.concatenate((text, np.zeros(6, np.int64))), np.ones(n, np.int64)
-        for j in range(6):
-            symbol = padded[j : j + n] * alive
-            key = key * 258 + symbol
-            alive = alive * (symbol > 0)
-        # A suffix that ends inside the key differs from all others: its mark is its string's own.
-        ends = np.repeat(marks, lengths) - np.arange(n)
-        order = np.lexsort((owner, key)) if len(strings) < 2 else np.argsort(key, kind="stable")
-        rank = self._ranks(order, (key[order][1:] != key[order][:-1]) | (ends[order][1:] < 6) | (ends[order][:-1] < 6))
-        reach = 6
-        while rank.max(initial=0) + 1 < n:
-            later = np.zeros(n, np.int64)
-            later[: n - reach] = rank[reach:] if n > reach else 0
-            both = rank * (n + 1) + later
-            order = np.argsort(both, kind="stable")
-            sorted_ = both[order]
-            rank = self._ranks(order, sorted_[1:] != sorted_[:-1])
-            reach *= 2
+        left = np.repeat(first + lengths - 1, lengths) - np.arange(n)  # bytes before the mark
+        order = self._sorted(text, left, int(lengths.max(initial=0)))
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         start = np.zeros(n, bool)
@@ -54,30 +36,52 @@ class Shard:
         self.before = np.where(start[order], -1, place[order - 1]).astype(np.int32)
 
     @staticmethod
-    def _ranks(order: np.ndarray, parts: np.ndarray) -> np.ndarray:
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.concatenate(([0], np.cumsum(parts))) if len(order) else 0
-        return rank
+    def _sorted(text: np.ndarray, left: np.ndarray, longest: int) -> np.ndarray:
+        """First by seven symbols at once; then only suffixes that still tie are sorted on, by the rank of what follows
+        the part they share, which doubles each time."""
+        n, width = len(text), 7
+        key, padded = np.zeros(n, np.uint64), np.concatenate((text, np.zeros(width, np.uint16))).astype(np.uint64)
+        for j in range(width):
+            key |= padded[j : j + n] << np.uint64(9 * (width - 1 - j))
+        short = left < width - 1
+        key[short] &= ~np.uint64(0) << (np.uint64(9) * (width - 1 - left[short]).astype(np.uint64))  # nothing counts after the mark
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        new = np.concatenate(([True], ordered[1:] != ordered[:-1]))[:n]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        reach = width
+        while reach <= longest:
+            tied = np.flatnonzero(~new | np.append(~new[1:], False))
+            tied = tied[left[order[tied]] >= reach]
+            if not len(tied):
+                break
+            at = order[tied]
+            both = rank[at] * n + rank[at + reach]
+            turn = np.argsort(both, kind="stable")
+            order[tied], both = at[turn], both[turn]
+            parts = np.concatenate(([True], both[1:] != both[:-1]))
+            new[tied] = parts
+            rank[order[tied]] = np.maximum.accumulate(np.where(parts, tied, 0))
+            reach *= 2
+        return order
 
 
-def merge(shards: list[Shard], depth: int, keep_unique: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shard of each row, row in the shard, block) after ``depth`` rounds; rows of a block share ``depth`` bytes.
 
-    A suffix that is alone with its first h bytes leaves, as everything before it will be alone too; with
-    ``keep_unique`` such rows stay. Suffixes shorter than ``depth`` drop out when their end is reached.
+    Rounds start from the suffixes at least ``depth`` bytes into their string: those alone are still in it after the
+    last round. A suffix that is alone with its first h bytes leaves, as everything before it will be alone too.
     """
-    sizes = [len(s.bwt) for s in shards]
-    base = np.cumsum([0, *sizes])
+    base = np.cumsum([0, *[len(s.bwt) for s in shards]])
     bwt = np.concatenate([s.bwt for s in shards])
     before = np.concatenate([s.before + b for s, b in zip(shards, base[:-1].tolist(), strict=True)]).astype(np.int32)
-    order, block = np.arange(len(bwt), dtype=np.int32), np.zeros(len(bwt), np.int32)
+    order = np.flatnonzero(np.concatenate([s.offset for s in shards]) >= depth).astype(np.int32)
+    block = np.zeros(len(order), np.int32)
     for _ in range(depth):
-        symbol = bwt[order]
-        go = symbol > 0
-        if not go.all():
-            order, block, symbol = order[go], block[go], symbol[go]
         if not len(order):
             break
+        symbol = bwt[order]
         turn = np.argsort(symbol, kind="stable")
         symbol, block = symbol[turn], block[turn]
         order = before[order[turn]]
@@ -85,17 +89,15 @@ def merge(shards: list[Shard], depth: int, keep_unique: bool = False) -> tuple[n
         new[0] = True
         np.not_equal(symbol[1:], symbol[:-1], out=new[1:])
         new[1:] |= block[1:] != block[:-1]
-        if not keep_unique:
-            alone = new & np.append(new[1:], True)
-            if alone.any():
-                stay = ~alone
-                order, new = order[stay], new[stay]
+        stay = ~(new & np.append(new[1:], True))
+        if not stay.all():
+            order, new = order[stay], new[stay]
         block = np.cumsum(new, dtype=np.int32)
     shard = np.searchsorted(base, order, side="right") - 1
     return shard, order - base[shard], block
 
 
-def repeated_intervals(strings: list[bytes], depth: int, shard_bytes: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_intervals(strings: list[bytes], depth: int, shard_bytes: int = 1 << 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, offset, block) of all places whose ``depth`` bytes occur at another place too; a block is one such
     interval of the merged transform. Strings are dealt to shards in turn, so likes start in different shards."""
     total = sum(map(len, strings))

@@ -5,11 +5,12 @@ A byte goes when a string of ``length`` bytes over it also starts in a document
 1. Equal texts are settled by their digest: all but the smallest id go whole, and only one stands for them below.
 2. Each string of ``length`` bytes names an anchor: its least-hashed inner gram, the leftmost of ties. Equal strings
    name equal anchors wherever they are, so strings are compared only under anchors that two documents share.
-   Neighbouring strings with one anchor make a fragment.
-3. Fragments under shared anchors are collapsed to distinct byte strings with the smallest id that has them, dealt by
-   anchor, and repeated intervals of ``length`` bytes are read off the merged transforms of each block of fragments.
-   An anchor with more fragments than a block should hold is cut into single strings of ``length`` bytes first, which
-   are equal or unrelated, so no block has to hold a hot anchor.
+   Neighbouring strings with one anchor make a fragment; equal fragments of all documents are one, with the smallest
+   id that has it.
+3. An anchor with one distinct fragment is a set of one string, which has nothing to merge. The fragments of all
+   others are fetched, dealt by anchor, and repeated intervals of ``length`` bytes are read off the merged transforms
+   of each block of fragments. An anchor with more fragments than a block should hold is cut into single strings of
+   ``length`` bytes first, which are equal or unrelated, so no block has to hold a hot anchor.
 4. Each string's smallest id, from its interval, goes back to the documents that have the fragment.
 """
 
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +28,28 @@ from caseloom.llm.bwt import repeated_intervals
 from caseloom.llm.common import discard, materialize, release_shuffles, ship_package, small_batches
 
 LENGTH, GRAM = 50, 20
-CHUNK = 1 << 22
+#: Bytes hashed at once; a longer text goes in overlapping pieces.
+CHUNK = 1 << 21
 LAST = (1 << 63) - 1
 U = np.uint64
+BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE ** i and its inverse modulo 2**64, for i below n; kept per worker."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        out = []
+        for base in (BASE, pow(BASE, -1, 1 << 64)):
+            x = np.full(n, base & ((1 << 64) - 1), U)
+            x[0] = 1
+            out.append(np.multiply.accumulate(x))
+        _POWERS[:] = out
+    return _POWERS[0], _POWERS[1]
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
-    """64-bit hash of every run of GRAM (20) bytes, from three overlapping 8-byte words."""
+    """64-bit hash of every run of GRAM (20) bytes, from three 8-byte words that cover it."""
     n = len(b) - GRAM + 1
     padded = np.zeros(len(b) + 16, np.uint8)
     padded[: len(b)] = b
@@ -40,62 +57,116 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
     for r in range(8):
         v = np.frombuffer(padded.data, "<u8", (len(padded) - r) // 8, r)
         word[r::8] = v[: len(word[r::8])]
-    h = (word[:n] * U(0x9E3779B97F4A7C15)) ^ ((word[8 : 8 + n] * U(0xD6E8FEB86659FD93)) >> U(11))
-    h = (h * U(0xFF51AFD7ED558CCD)) ^ ((word[12 : 12 + n] * U(0xC2B2AE3D27D4EB4F)) >> U(7))
+    h = word[8 : 8 + n] * U(0xC2B2AE3D27D4EB4F)
+    h >>= U(7)
+    h ^= word[:n] * U(BASE)
+    h *= U(0xFF51AFD7ED558CCD)
+    h ^= word[GRAM - 8 : GRAM - 8 + n] * U(0xD6E8FEB86659FD93)
     h ^= h >> U(29)
     h *= U(0xBF58476D1CE4E5B9)
-    return h ^ (h >> U(32))
-
-
-def fragments(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first string start, number of strings) of each fragment. Long texts go in overlapping chunks; a
-    fragment may be cut at a chunk's end, which changes no string's anchor."""
-    out = []
-    for a in range(0, max(0, len(data) - length + 1), CHUNK):
-        b = np.frombuffer(data, np.uint8, min(len(data) - a, CHUNK + length - 1), a)
-        h = gram_hashes(b)
-        low = U((1 << 24) - 1)
-        best, width, window = (h & ~low) | np.arange(len(h), dtype=U), 1, length - GRAM + 1
-        while 2 * width <= window:
-            best = np.minimum(best[:-width], best[width:])
-            width *= 2
-        if width < window:
-            best = np.minimum(best[: len(best) - (window - width)], best[window - width :])
-        at = (best & low).astype(np.int64)
-        start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        out.append((h[at[start]], start + a, np.diff(np.append(start, len(at)))))
-    if not out:
-        return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def _bytes(text: str | None) -> bytes:
-    return text.encode("utf-8", "surrogatepass") if text else b""
+    h ^= h >> U(32)
+    return h
+
+
+def fragments(b: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Fragments of texts laid end to end in ``b`` (their ends given): (first string's start, number of strings, anchor,
+    hash of the fragment's bytes). No string crosses an end."""
+    if len(b) < length:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, U),) * 2
+    h = gram_hashes(b)
+    low = U((1 << 24) - 1)
+    best, width, window = (h & ~low) | np.arange(len(h), dtype=U), 1, length - GRAM + 1
+    while 2 * width <= window:
+        best = np.minimum(best[:-width], best[width:])
+        width *= 2
+    if width < window:
+        best = np.minimum(best[: len(best) - (window - width)], best[window - width :])
+    at = (best & low).astype(np.int64)
+    over = (ends[:, None] - np.arange(1, length)).ravel()  # strings that would cross the end of their text
+    at[over[(over >= 0) & (over < len(at))]] = -1
+    start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    count = np.diff(np.append(start, len(at)))
+    real = at[start] >= 0
+    start, count = start[real], count[real]
+    power, inverse = _powers(CHUNK + length)
+    total = np.concatenate((np.zeros(1, U), np.cumsum(h * power[: len(h)], dtype=U)))
+    whole = (total[start + count - 1 + length - GRAM + 1] - total[start]) * inverse[start]
+    whole ^= whole >> U(31)
+    whole *= U(0xD6E8FEB86659FD93)
+    return start, count, h[at[start]], whole ^ (whole >> U(32))
+
+
+def batch_fragments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
+    """Yield (text number, start in the text, count, anchor, hash) arrays for texts in one buffer; ``offsets`` as in
+    Arrow. Texts go together up to CHUNK bytes; a longer one in pieces that overlap by a string less a byte. A piece's
+    end may cut a fragment in two, which changes no string's anchor."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        if offsets[i + 1] - offsets[i] > CHUNK:
+            for a in range(int(offsets[i]), int(offsets[i + 1]) - length + 1, CHUNK):
+                z = min(int(offsets[i + 1]), a + CHUNK + length - 1)
+                start, count, anchor, whole = fragments(data[a:z], np.array([z - a]), length)
+                yield np.full(len(start), i), start + a - int(offsets[i]), count, anchor, whole
+            i += 1
+            continue
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK, side="right")) - 1)
+        ends = offsets[i + 1 : j + 1] - offsets[i]
+        start, count, anchor, whole = fragments(data[offsets[i] : offsets[j]], ends, length)
+        who = np.searchsorted(ends, start, side="right")
+        yield who + i, start - np.concatenate(([0], ends))[who], count, anchor, whole
+        i = j
+
+
+def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of an Arrow string column, without copying texts."""
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, kind, len(column) + 1, column.offset * np.dtype(kind).itemsize).astype(np.int64)
+    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at
+
+
+def _emit(full: bool, length: int, unique: bool):
+    """Anchors of each text: (h, id) or (h, id, place, f), place = start * 256 + count; with row_id where ids repeat."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, rows = batch.column("id").to_numpy(), batch.column("row_id").to_numpy()
+            data, offsets = _texts(batch.column("text"))
+            for who, start, count, anchor, whole in batch_fragments(data, offsets, length):
+                out = {"h": anchor.view(np.int64), "id": ids[who]}
+                if full:
+                    out |= {"place": start * 256 + count, "f": whole.view(np.int64)} | ({} if unique else {"row_id": rows[who]})
+                for a in range(0, len(who), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(v[a : a + (1 << 16)]) for v in out.values()], names=list(out))
 
+    return emit
 
-def _emit_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for a in range(0, len(batch), 64):
-            part = batch.iloc[a : a + 64]
-            found = [fragments(_bytes(t)) for t in part["text"]]
-            k = [len(f[0]) for f in found]
-            yield pd.DataFrame({"row_id": np.repeat(part["row_id"].to_numpy(), k), "id": np.repeat(part["id"].to_numpy(), k), "h": np.concatenate([f[0] for f in found]).view(np.int64), "at": np.concatenate([f[1] for f in found]).astype(np.int32), "n": np.concatenate([f[2] for f in found]).astype(np.int16)})
 
+def _fetch(length: int):
+    """Bytes of the fragments named in ``want``."""
 
-def _emit_fragments(length: int):
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row_id, id_, text, parts in zip(batch["row_id"], batch["id"], batch["text"], batch["parts"], strict=True):
+            h, f, low, frag = [], [], [], []
+            for text, want in zip(batch["text"], batch["want"], strict=True):
                 data = _bytes(text)
-                for a in range(0, len(parts), 20_000):
-                    some = [(p["h"], p["at"], p["n"]) for p in parts[a : a + 20_000]]
-                    yield pd.DataFrame({"row_id": row_id, "id": id_, "h": [p[0] for p in some], "at": [p[1] for p in some], "n": [p[2] for p in some], "frag": [data[p[1] : p[1] + p[2] - 1 + length] for p in some]})
+                for x in want:
+                    start, count = divmod(x["place"], 256)
+                    h.append(x["h"])
+                    f.append(x["f"])
+                    low.append(x["low"])
+                    frag.append(data[start : start + count - 1 + length])
+            yield pd.DataFrame({"h": h, "f": f, "low": low, "frag": frag})
 
-    return emit
+    return fetch
+
+
+def _bytes(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
 
 
 def _resolve(length: int, block_bytes: int):
-    """Per distinct fragment the runs of strings with one smallest id: (h, frag, runs of (t, n, low))."""
+    """Per distinct fragment the runs of strings with one smallest id: (h, f, runs of (t, k, low))."""
 
     def block(part: pd.DataFrame) -> pd.DataFrame:
         frags, low = part["frag"].tolist(), part["low"].to_numpy(np.int64)
@@ -114,7 +185,7 @@ def _resolve(length: int, block_bytes: int):
         size = np.diff(np.append(cut, len(best)))
         begin = np.flatnonzero(np.concatenate(([True], owner[cut][1:] != owner[cut][:-1])))
         split = lambda x: np.split(x, begin[1:])
-        return pd.DataFrame({"h": part["h"].to_numpy(), "frag": frags, "t": split((cut - first[owner[cut]]).astype(np.int32)), "n": split(size.astype(np.int32)), "low": split(best[cut])})
+        return pd.DataFrame({"h": part["h"].to_numpy(), "f": part["f"].to_numpy(), "t": split((cut - first[owner[cut]]).astype(np.int32)), "k": split(size.astype(np.int32)), "low": split(best[cut])})
 
     def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -137,43 +208,73 @@ def _resolve(length: int, block_bytes: int):
     return resolve
 
 
-def spans_to_remove(rows: DataFrame, length: int = LENGTH, hot: int = 5_000, block_bytes: int = 1 << 20) -> DataFrame:
-    """``rows`` (row_id, id, text; distinct texts): per row with something to remove, row_id and its [start, end)."""
+def spans_to_remove(rows: DataFrame, length: int = LENGTH, hot: int = 40_000, block_bytes: int = 1 << 18, unique: bool = False) -> DataFrame:
+    """``rows`` (row_id, id, text; distinct texts): per row with something to remove, row_id and its [start, end).
+    ``unique`` says that row_id and id are the same, which spares a column of everything that moves."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    anchors = rows.mapInPandas(_emit_anchors, "row_id long, id long, h long, at int, n short")
-    shared = anchors.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
-    shared = materialize(shared, "shared-anchors")
+    source = rows.select("row_id", "id", "text")
+    seen = source.mapInArrow(_emit(False, length, unique), "h long, id long")
+    shared = materialize(seen.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h"), "shared-anchors")
     release_shuffles(spark)
-    parts = anchors.join(shared, "h", "left_semi").groupBy("row_id").agg(F.collect_list(F.struct("h", "at", "n")).alias("parts"))
-    parts = materialize(parts, "anchored")
+    anchors = source.mapInArrow(_emit(True, length, unique), "h long, id long, place long, f long" + ("" if unique else ", row_id long"))
+    found = materialize(anchors.join(shared, "h"), "shared-fragments")
+    if unique:
+        found = found.withColumn("row_id", F.col("id"))
     discard(shared)
     release_shuffles(spark)
 
-    found = rows.join(parts, "row_id").mapInPandas(_emit_fragments(length), "row_id long, id long, h long, at int, n short, frag binary")
-    found = materialize(found, "fragments")
-    discard(parts)
+    # Equal fragments are one. Where it lies: in the row of its smallest id.
+    distinct = materialize(found.groupBy("h", "f").agg(F.min(F.struct("id", "row_id", "place")).alias("at")), "distinct-fragments")
     release_shuffles(spark)
-    distinct = found.groupBy("h", "frag").agg(F.min("id").alias("low"))
-    heavy = materialize(distinct.groupBy("h").count().where(F.col("count") > hot).select("h"), "hot-anchors")
-    if not heavy.isEmpty():
-        single = F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1))
-        cut = found.join(heavy, "h", "left_semi").select("row_id", "id", "at", "frag", single.alias("t")).select("row_id", "id", (F.col("at") + F.col("t")).alias("at"), F.lit(1).cast("short").alias("n"), F.substring("frag", F.col("t") + 1, F.lit(length)).alias("frag"))
-        found = found.join(heavy, "h", "left_anti").select("row_id", "id", "h", "at", "n", "frag").unionByName(cut.withColumn("h", F.xxhash64("frag")).select("row_id", "id", "h", "at", "n", "frag"))
-        distinct = found.groupBy("h", "frag").agg(F.min("id").alias("low"))
-    best = distinct.repartition(n, "h").sortWithinPartitions("h").mapInPandas(_resolve(length, block_bytes), "h long, frag binary, t array<int>, n array<int>, low array<long>")
-    best = materialize(best, "least-ids")
+    several = materialize(distinct.groupBy("h").count().where("count > 1"), "several")
+    want = distinct.join(several.where(F.col("count") <= hot), "h").select(F.col("at.row_id").alias("row_id"), F.struct("h", "f", F.col("at.id").alias("low"), F.col("at.place").alias("place")).alias("w"))
+    fetched = materialize(source.join(want.groupBy("row_id").agg(F.collect_list("w").alias("want")), "row_id").select("text", "want").mapInPandas(_fetch(length), "h long, f long, low long, frag binary"), "fetched")
     release_shuffles(spark)
+    dealt = fetched.repartition(n, "h").sortWithinPartitions("h", "f")
+    resolved = materialize(dealt.mapInPandas(_resolve(length, block_bytes), "h long, f long, t array<int>, k array<int>, low array<long>"), "least-ids")
+    discard(fetched)
+    release_shuffles(spark)
+    alone = distinct.join(several, "h", "left").where("count is null")
+    best = alone.select("h", "f", F.array(F.lit(0)).alias("t"), F.array((F.col("at.place") % 256).cast("int")).alias("k"), F.array("at.id").alias("low")).unionByName(resolved)
     gone = F.filter(F.arrays_zip(F.col("t"), F.col("k"), F.col("low")), lambda x: x["low"] < F.col("id"))
-    spans = found.select("row_id", "id", "h", "frag", "at").join(best.withColumnRenamed("n", "k"), ["h", "frag"]).select("row_id", "at", F.explode(gone).alias("g"))
-    spans = spans.select("row_id", F.struct((F.col("at") + F.col("g.t")).alias("start"), (F.col("at") + F.col("g.t") + F.col("g.k") - 1 + length).alias("end")).alias("span"))
+    start = F.floor(F.col("place") / 256)
+    spans = found.join(best, ["h", "f"]).select("row_id", start.alias("start"), F.explode(gone).alias("g"))
+    spans = spans.select("row_id", F.struct((F.col("start") + F.col("g.t")).alias("start"), (F.col("start") + F.col("g.t") + F.col("g.k") - 1 + length).alias("end")).alias("span"))
+    heavy = several.where(F.col("count") > hot).select("h")
+    if not heavy.isEmpty():
+        spans = spans.unionByName(_heavy_spans(source, found.join(heavy, "h"), length))
     spans = materialize(spans.groupBy("row_id").agg(F.sort_array(F.collect_list("span")).alias("spans")), "spans")
-    for done in (found, best, heavy):
+    for done in (found, distinct, several, resolved):
         discard(done)
     release_shuffles(spark)
     return spans
 
 
+def _heavy_spans(source: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """Spans under anchors with too many distinct fragments for a block: their strings, one by one. Strings are grouped
+    by their bytes with combined minima, so a hot anchor is spread over as many keys as it has distinct strings."""
+    where = found.groupBy("row_id").agg(F.collect_list(F.struct("h", "f", F.col("id").alias("low"), "place")).alias("want"), F.min("id").alias("id"))
+
+    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = {"row_id": [], "id": [], "start": [], "frag": []}
+            for row_id, id_, text, want in zip(batch["row_id"], batch["id"], batch["text"], batch["want"], strict=True):
+                data = _bytes(text)
+                for x in want:
+                    start, count = divmod(x["place"], 256)
+                    for t in range(start, start + count):
+                        out["row_id"].append(row_id)
+                        out["id"].append(id_)
+                        out["start"].append(t)
+                        out["frag"].append(data[t : t + length])
+            yield pd.DataFrame(out)
+
+    single = materialize(source.select("row_id", "text").join(where, "row_id").select("row_id", "id", "text", "want").mapInPandas(strings, "row_id long, id long, start long, frag binary"), "hot-strings")
+    low = single.groupBy("frag").agg(F.min("id").alias("low"))
+    return single.join(low, "frag").where("low < id").select("row_id", F.struct("start", (F.col("start") + length).alias("end")).alias("span"))
+
+
 def cut_spans(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[list[tuple[int, int]], bytes]:
     """Maximal removed runs (touching spans are one), and what is left."""
     if not len(starts):
@@ -216,7 +317,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = materialize(copies, "copies")
     discard(keys)
     release_shuffles(spark)
-    spans = spans_to_remove(rows.join(copies, "row_id", "left_anti").select("row_id", "id", "text"), length)
+    spans = spans_to_remove(rows.join(copies, "row_id", "left_anti").select("row_id", "id", "text"), length, unique=unique)
     # A copy with the same id as its stand-in has the same strings before it: it takes the stand-in's spans.
     same = copies.where(~F.col("whole")).join(spans.withColumnRenamed("row_id", "like"), "like").select("row_id", "spans")
     known = spans.select("row_id", "spans", F.lit(False).alias("whole")).unionByName(same.withColumn("whole", F.lit(False))).unionByName(copies.where("whole").select("row_id", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), "whole"))
