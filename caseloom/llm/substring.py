@@ -101,7 +101,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     2. The same anchors, joined with those hashes (Spark splits a skewed hash), grouped by row.
     3. Rows with such anchors hash the runs around them; runs are counted the same way; those seen twice come back.
     A hash that a third of all rows share is never in one task: sums are combined before they move, and the joins
-    have one row per hash on one side.
+    have one row per hash on one side. They are inner joins, as Spark puts an aggregate under a semi join's right side
+    and then cannot split a skewed hash.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -118,7 +119,7 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     anchors = docs.select("row_id", "text").mapInPandas(emit, "row_id long, at int, h long")
     twice = materialize(repeated(anchors.select("h"), ["h"]), "anchors-twice")
     release_shuffles(spark)
-    found = anchors.join(twice, "h", "left_semi").groupBy("row_id").agg(F.collect_list("at").alias("anchors"))
+    found = anchors.join(twice, "h").groupBy("row_id").agg(F.collect_list("at").alias("anchors"))
     found = materialize(found, "anchored-rows")
     discard(twice)
     release_shuffles(spark)
@@ -148,7 +149,7 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     discard(found)
     release_shuffles(spark)
     again = repeated(candidates, ["h1", "h2"])
-    starts = candidates.join(again, ["h1", "h2"], "left_semi").groupBy("row_id").agg(F.sort_array(F.collect_list("at")).alias("starts"))
+    starts = candidates.join(again, ["h1", "h2"]).groupBy("row_id").agg(F.sort_array(F.collect_list("at")).alias("starts"))
     starts = materialize(starts, "repeated-runs")
     discard(candidates)
     release_shuffles(spark)
