@@ -101,8 +101,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     2. The same anchors, joined with those hashes (Spark splits a skewed hash), grouped by row.
     3. Rows with such anchors hash the runs around them; runs are counted the same way; those seen twice come back.
     A hash that a third of all rows share is never in one task: sums are combined before they move, and the joins
-    have one row per hash on one side. They are inner joins, as Spark puts an aggregate under a semi join's right side
-    and then cannot split a skewed hash.
+    have one row per hash on one side. That side is a written table and the join an inner one: with an aggregate under
+    it, which a semi join brings too, Spark could not split a skewed hash.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -148,10 +148,12 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     candidates = materialize(candidates, "runs")
     discard(found)
     release_shuffles(spark)
-    again = repeated(candidates, ["h1", "h2"])
+    again = materialize(repeated(candidates, ["h1", "h2"]), "runs-twice")
+    release_shuffles(spark)
     starts = candidates.join(again, ["h1", "h2"]).groupBy("row_id").agg(F.sort_array(F.collect_list("at")).alias("starts"))
     starts = materialize(starts, "repeated-runs")
     discard(candidates)
+    discard(again)
     release_shuffles(spark)
     return starts
 
