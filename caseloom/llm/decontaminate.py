@@ -107,8 +107,7 @@ def _char_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int
 def benchmark_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, max_block_bytes: int = 64 << 20) -> DataFrame:
     """Add struct column ``hits`` to every row of ``docs``: word count, words hit, items, original spans.
 
-    All input columns stay, the order of rows and repeated rows too; ``docs`` must not have a column
-    ``hits``. Null or wordless texts give zero words and no hit; a null, wordless or id-less item has no
+    All input columns stay, the order of rows and repeated rows too; a column ``hits`` is replaced. Null or wordless texts give zero words and no hit; a null, wordless or id-less item has no
     window; an empty benchmark hits nothing. No shuffle: one map over the documents per window block.
     """
     spark = docs.sparkSession

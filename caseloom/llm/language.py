@@ -44,7 +44,7 @@ class WordBackoff:
         def keep(found: dict[str, np.ndarray], share: np.ndarray, most: int) -> dict[str, int]:
             kept = sorted((x for x in found if found[x].sum() >= min_count), key=lambda x: (-found[x].sum(), x))[:most]
             first = sum(map(len, rows))
-            rows.append(self._centred(np.array([found[x] for x in kept]).reshape(-1, k), share))
+            rows.append(self._centred(np.array([found[x] for x in kept]).reshape(len(kept), k), share))
             return {x: first + i for i, x in enumerate(kept)}
 
         self.words = keep(words, totals, max_words)
@@ -54,7 +54,7 @@ class WordBackoff:
     @staticmethod
     def _centred(count: np.ndarray, total: np.ndarray) -> np.ndarray:
         score = np.log((count + 0.1) / (total + 1.0))
-        return (score - score.mean(axis=1, keepdims=True)).astype(np.float32)
+        return (score - score.mean(axis=1, keepdims=True) if score.size else score).astype(np.float32)
 
     def unseen(self, word: str) -> np.ndarray:
         """From each place the longest known n-gram, then on from the next place."""

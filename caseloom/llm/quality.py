@@ -64,12 +64,12 @@ def measures(text: Column) -> Column:
 
 
 def with_measures(docs: DataFrame, text_col: str = "text", into: str = "q") -> DataFrame:
-    """``docs`` with the flat measures as struct column ``into``; all other columns stay."""
+    """``docs`` with the flat measures as struct column ``into``, in place of one of that name; all other columns stay."""
     # The generator is a fence: no later projection can inline the expression and evaluate it again.
     held = docs.select("*", F.explode(F.array(measures(F.col(text_col)))).alias("__m"))
     m = F.col("__m")
     flat = [m[g][x].alias(x) for g, xs in (("w", ("n_words", "word_chars", "n_repeat_words")), ("l", ("n_lines", "n_dup_lines")), ("c", ("n_symbols", "n_upper", "n_lower", "n_shouts"))) for x in xs]
-    return held.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(*flat).alias(into))
+    return held.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], F.struct(*flat).alias(into))
 
 
 def base_failed(q: Column) -> Column:
@@ -156,7 +156,7 @@ def quality(docs: DataFrame, text_col: str = "text", into: str = "q") -> DataFra
 
     Two passes over the texts (the votes must be counted before they are weighed), no shuffle of texts. Repeated
     rows count as often as they occur. Null and empty texts fail the base limits. An empty table gives no rows.
-    ``docs`` must not have a column named ``into``.
+    A column named ``into`` is replaced.
     """
     model = learn(docs.select(F.col(text_col).alias("text")).transform(with_measures), "q")
     return judged(with_measures(docs, text_col, into), model, into)
