@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op8_suffix_array": suffix.OP8_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
     "op10_substring": substring.OP10_SQL,
 }

@@ -343,3 +343,18 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: what byte-run dedup leaves of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return dedup_bytes(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: DuckDB for op8: every string of 50 bytes in hex, its smallest id, and the runs of removed starts as islands.
+OP8_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM d WHERE length(x) >= 100)),
+m AS (SELECT s, min(doc_id) AS low FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM w JOIN m USING (s) WHERE low < doc_id),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g) GROUP BY doc_id, k),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM r),
+o AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS head FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN o USING (doc_id)
+"""
