@@ -8,7 +8,6 @@ as character ranges of the original text.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np

@@ -11,12 +11,10 @@ and the base limits hold.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import SPACE_CLASS, discard, let, materialize, table
+from caseloom.llm.common import SPACE_CLASS, let, materialize, table
 
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
