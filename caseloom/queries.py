@@ -6,7 +6,7 @@ corpus has, as its prose has none of the domain's.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions import identity as I
