@@ -294,25 +294,33 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_row_key(docs: DataFrame, id_col: str, text_col: str, into: str) -> DataFrame:
+    """``docs`` with a 128-bit key of id and text; null and empty differ. Rows alike in both are one document."""
+    mark = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    return docs.withColumn(into, F.unhex(F.md5(F.concat(mark(id_col), F.lit(" "), mark(text_col)).cast("binary"))))
+
+
+def fingerprint_roots(rows: DataFrame) -> DataFrame:
+    """``doc_id``, ``key`` of every row and ``root``, the smallest fingerprint of its component. ``rows``: doc_id, key, text."""
+    marked = materialize(with_fingerprint(rows).select("doc_id", "key", "fp"), "fingerprints")
+    roots = components(links(marked.select("fp").distinct(), 2048)).withColumnRenamed("node", "fp")
+    return marked.join(roots, "fp", "left").select("doc_id", "key", F.coalesce("root", "fp").alias("root"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near=fingerprint_roots) -> DataFrame:
     """The documents, one of each near-duplicate component: the one with the smallest id (null ids last, and of rows
-    with the same id the one with the smallest text hash). All columns stay."""
-    marked = near_duplicates(docs, id_col, text_col)
-    # The survivor's id by component; ids of all others are what has to go.
-    drop = materialize(marked.where("component_id is not null and not (doc_id <=> component_id)").select("doc_id").distinct(), "near-duplicates")
-    ids = docs.groupBy(id_col).count().where(F.col("count").__gt__(1) | F.col(id_col).isNull())
-    kept = docs.join(drop.withColumnRenamed("doc_id", "__drop"), F.col(id_col).eqNullSafe(F.col("__drop")), "left_anti")
-    if ids.isEmpty():
-        return kept
-    # Some id is null or repeated: those rows are few or alike, and are settled by fingerprint.
-    again = with_fingerprint(kept, text_col, "__fp").join(near_roots(marked).withColumnRenamed("fp", "__fp"), "__fp")
-    first = again.groupBy("__root").agg(F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.xxhash64(text_col).alias("t"))).alias("__first"))
-    settled = again.join(first, "__root").where(F.col(id_col).eqNullSafe(F.col("__first.i")) & (F.xxhash64(text_col) == F.col("__first.t")))
-    # Rows alike in id and text are one document.
-    return settled.dropDuplicates(["__root"]).select(*docs.columns)
-
-
-def near_roots(marked: DataFrame) -> DataFrame:
-    """(fp, root): components named by their smallest fingerprint, which is never null."""
-    known = marked.select("fp", "component_id").distinct()
-    return known.select("fp", F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string"))).alias("__root"))
+    with the same id the one with the smallest key). All columns stay. ``near`` names every row's component.
+
+    Survivors are rows, not ids: an id may be null or stand for several texts.
+    """
+    keyed = with_row_key(docs, id_col, text_col, "__key")
+    rows = near(keyed.select(F.col(id_col).alias("doc_id"), F.col("__key").alias("key"), F.col(text_col).alias("text")))
+    per = materialize(rows.groupBy("root", "key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "row-keys")
+    first = per.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first"))
+    settled = materialize(per.join(first, "root").select(F.col("key").alias("__key"), "n", (F.col("key") == F.col("first.key")).alias("stays")), "survivors")
+    release_shuffles(docs.sparkSession)
+    kept = keyed.join(settled.where("not stays").select("__key"), "__key", "left_anti")
+    again = settled.where("stays and n > 1").select("__key")
+    if not again.isEmpty():  # only rows that occur several times move for this
+        kept = kept.join(again, "__key", "left_anti").unionByName(kept.join(again, "__key", "left_semi").dropDuplicates(["__key"]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

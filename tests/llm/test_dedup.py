@@ -87,6 +87,16 @@ def test_one_of_each(docs, awkward, nothing):
     assert simhash.near_duplicates(awkward).count() == 6
 
 
+def test_one_of_each_settles_rows_not_ids(spark):
+    a, b, c, d = (" ".join(f"{w}{k}" for k in range(60)) for w in "abcd")
+    keep = lambda rows: sorted((str(r.doc_id), r.text[0]) for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    # A null id beside a copy with an id takes no other null id with it; a component of null ids keeps one row.
+    assert keep([(1, a), (None, a), (None, b), (None, c), (None, c)]) == [("1", "a"), ("None", "b"), ("None", "c")]
+    # An id with two texts: its loss under one text is not that of the other, and no component goes as a whole.
+    assert keep([(3, a), (5, a), (5, b), (7, b), (1, d), (5, d), (5, d)]) == [("1", "d"), ("3", "a"), ("5", "b")]
+    assert keep([(5, a), (5, a), (6, b)]) == [("5", "a"), ("6", "b")]
+
+
 def brute_bytes(texts, length=50):
     first = {}
     for i, t in sorted(texts.items()):
