@@ -1,18 +1,20 @@
 """Mixing to target weights by soft membership, in DataFrame functions only.
 
-A classifier fitted on a labelled table gives every document a posterior over domains. Projected-gradient least
-squares then finds a non-negative rate per document such that the expected tokens of each domain, summed over rates
-times posteriors, meet the targets while rates stay near one.
+A classifier fitted on a labelled table gives every document a posterior over domains. Least squares then finds a
+non-negative rate per document such that the expected tokens of each domain, summed over rates times posteriors, meet
+the targets while rates stay near one.
 
-The state of the descent is not stored per document: a document's rate after k steps is a fixed expression of its
-posterior and of the k residual vectors so far, a few numbers each. So a step is one aggregate over a table of
-posteriors, and a lost executor has no state to lose.
+The state of the descent is not stored per document: a document's rate is a fixed expression of its posterior and of
+one multiplier per domain. So a step is one aggregate over a table of posteriors, and a lost executor has no state to
+lose.
 """
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,46 +83,91 @@ def fit_posteriors(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...
 
 
 class Rates:
-    """A document's rate as an expression of its posteriors and the residuals of the steps taken."""
+    """A document's rate as an expression of its posteriors: one, plus one multiplier per domain times its posterior,
+    never below zero; one without tokens, which no domain counts. ``residual``: each domain's expected share less its target, as part of the target; ``met`` when
+    all are within the tolerance."""
 
-    def __init__(self, step: float, pull: float):
-        self.step, self.pull, self.history = step, pull, []
+    def __init__(self, multipliers: list[float], residual: list[float] | None = None, met: bool = True):
+        self.multipliers, self.residual, self.met = multipliers, residual or [], met
 
-    def column(self, p: list[Column]) -> Column:
-        rate = F.lit(1.0)
-        for residual in self.history:  # one use of the last rate per step, so the expression grows linearly
-            push = reduce(lambda a, b: a + b, [x * F.lit(-self.step * e) for x, e in zip(p, residual, strict=True)])
-            rate = F.greatest(F.lit(0.0), rate * F.lit(1 - self.step * self.pull) + F.lit(self.step * self.pull) + push)
-        return rate
+    def column(self, p: list[Column], n_tokens: Column) -> Column:
+        rate = reduce(lambda a, b: a + b, [x * F.lit(float(m)) for x, m in zip(p, self.multipliers, strict=True)], F.lit(1.0))
+        return F.when(n_tokens > 0, F.greatest(F.lit(0.0), rate)).otherwise(1.0)
 
 
-def fit_rates(members: DataFrame, targets: list[float], rounds: int = 40, tolerance: float = 2e-3, pull: float = 1e-3) -> Rates:
-    """Projected gradient on ``members`` (n_tokens, p: array of posteriors).
+def fit_rates(members: DataFrame, targets: list[float], tolerance: float = 2e-3, pull: float = 1e-3, floor: float = 1e-11, max_rounds: int = 400) -> Rates:
+    """Least squares on ``members`` (n_tokens, p: array of posteriors).
 
-    Minimises half the sum over domains of (expected share - target)^2 / the larger of present share and target, plus ``pull`` / 2 times the
-    token-weighted mean of (rate - 1)^2, in the token-weighted norm. There the curvature is at most 1 + pull, so a
-    step of 1 / (1 + pull) never overshoots. Each round returns one number per domain to the driver. An empty table,
-    or one without tokens, keeps every rate at one.
+    Minimises half the sum over domains of (expected share - target)^2 / the larger of present share and target, plus
+    ``pull`` / 2 times the token-weighted mean of (rate - 1)^2, over rates of zero or more. The minimum has one
+    multiplier per domain, found by Newton steps on the dual, a convex function of the multipliers; a step is halved
+    until the dual falls. Each round is one aggregate that returns a few numbers per domain pair.
+
+    Ends when every share is within ``tolerance`` of its target. The pull itself keeps shares off targets that ask for
+    large rates, so it is lowered by hundreds down to ``floor`` until they are met. Targets that no rates meet get the
+    minimum at ``pull``, with a warning; what remains is in the result's ``residual``. An empty table, or one without
+    tokens, keeps every rate at one.
     """
     k = len(targets)
     p = [F.get(F.col("p"), F.lit(j)) for j in range(k)]
     n = F.col("n_tokens").cast("double")
     base = members.agg(F.sum(n), *[F.sum(n * x) for x in p]).first()
-    rates = Rates(1 / (1 + pull), pull)
     if not base[0]:
-        return rates
-    goal = sum(targets)
-    # Of a domain that hardly occurs a target may be out of reach: scaled by the target, a round adds at most one.
-    present = [max(x / base[0], t / goal) for x, t in zip(base[1:], targets, strict=True)]
-    for _ in range(rounds):
-        rate = rates.column(p)
-        weighted = members.select(*[x.alias(f"p{j}") for j, x in enumerate(p)], (n * rate).alias("w"))
-        got = weighted.agg(*[F.sum(F.col("w") * F.col(f"p{j}")) for j in range(k)]).first()
-        off = [(g or 0.0) / base[0] - t / goal for g, t in zip(got, targets, strict=True)]
-        if max(abs(x) / max(t / goal, 1e-9) for x, t in zip(off, targets, strict=True)) <= tolerance:
-            break
-        rates.history.append([x / s for x, s in zip(off, present, strict=True)])
-    return rates
+        return Rates([0.0] * k)
+    goal = np.array(targets, float) / sum(targets)
+    present = np.array(base[1:], float) / base[0]
+    scale = np.maximum(present, goal)
+    scale[scale == 0] = 1.0
+    unit = np.where(goal > 0, goal, scale)  # of a target of zero, a miss counts as part of the present share
+    rounds = 0
+
+    def look(m: np.ndarray):
+        """Shares, their derivatives, and the mean of half the squared rates, under the multipliers ``m``."""
+        nonlocal rounds
+        rounds += 1
+        if rounds > max_rounds:
+            raise RuntimeError(f"rates did not settle in {max_rounds} rounds")
+        rows = members.select(*[x.alias(f"p{j}") for j, x in enumerate(p)], n.alias("n"), Rates(list(m)).column(p, n).alias("rate")).where("rate > 0")
+        both = [(i, j) for i in range(k) for j in range(i, k)]
+        got = rows.agg(*[F.sum(F.col("n") * F.col("rate") * F.col(f"p{j}")) for j in range(k)], *[F.sum(F.col("n") * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in both], F.sum(F.col("n") * F.col("rate") * F.col("rate")) / 2).first()
+        got = np.array([x or 0.0 for x in got]) / base[0]
+        slope = np.zeros((k, k))
+        for (i, j), x in zip(both, got[k:-1], strict=True):
+            slope[i, j] = slope[j, i] = x
+        return got[:k], slope, got[-1]
+
+    def missed(share: np.ndarray) -> np.ndarray:
+        return (share - goal) / unit
+
+    def settle(m: np.ndarray, seen, pull: float):
+        """Newton steps to the minimum under ``pull``, or to the first multipliers that meet the targets."""
+        dual = lambda m, seen: pull * (scale * m * m).sum() / 2 + seen[2] - goal @ m
+        while True:
+            slip = pull * scale * m + seen[0] - goal
+            if (abs(missed(seen[0])) <= tolerance).all() or (abs(slip) <= tolerance / 10 * unit).all():
+                return m, seen
+            move = np.linalg.lstsq(seen[1] + np.diag(pull * scale), -slip, rcond=None)[0]
+            gain, now, part = slip @ move, dual(m, seen), 1.0
+            while True:
+                new = m + part * move
+                then = look(new)
+                if dual(new, then) <= now + 1e-4 * part * gain + 1e-12 * abs(now):
+                    break
+                part /= 2
+                if part < 1e-9:  # no fall that doubles can tell: this is the minimum
+                    return m, seen
+            m, seen = new, then
+
+    m = np.zeros(k)
+    m, seen = first, first_seen = settle(m, look(m), pull)
+    while (abs(missed(seen[0])) > tolerance).any() and pull > floor:
+        pull /= 100
+        m, seen = settle(m, seen, pull)
+    met = bool((abs(missed(seen[0])) <= tolerance).all())
+    if not met:
+        m, seen = first, first_seen
+        warnings.warn(f"no rates meet the targets {list(targets)}: expected shares are {[round(float(x), 6) for x in seen[0]]}", stacklevel=2)
+    return Rates([float(x) for x in m], [float(x) for x in missed(seen[0])], met)
 
 
 def copies(rate: Column, *keys: Column) -> Column:
@@ -143,7 +190,7 @@ def mixing(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TAR
     members = materialize(members, "members")
     rates = fit_rates(members, list(targets.values()))
     p = [F.get(F.col("p"), F.lit(j)) for j in range(len(domains))]
-    return members.withColumn("rate", rates.column(p)).withColumn("copies", copies(F.col("rate"), F.col(key))), model, rates
+    return members.withColumn("rate", rates.column(p, F.col("n_tokens"))).withColumn("copies", copies(F.col("rate"), F.col(key))), model, rates
 
 
 def members_of(docs: DataFrame, model: Posteriors, text_col: str = "text") -> DataFrame:
@@ -156,7 +203,7 @@ def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, flo
     """The documents themselves, each as often as its copies say; all columns stay. Two passes, no shuffle of texts."""
     _, model, rates = mixing(docs, labelled, targets, text_col=text_col)
     p = [F.get(F.col("p"), F.lit(j)) for j in range(len(targets))]
-    n = copies(rates.column(p), F.col("doc_id"))
+    n = copies(rates.column(p, F.col("n_tokens")), F.col("doc_id"))
     counted = members_of(docs, model, text_col).withColumn("__copies", n).where("__copies > 0")
     return counted.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
 
