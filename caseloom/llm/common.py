@@ -13,16 +13,21 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 #: Bytes between words: space and the ASCII controls tab to carriage return (the contract's word class).
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a temporary one of our own only where none is configured."""
+    """The cluster's shared scratch folder; a temporary one of our own only where none is configured and driver and
+    executors are one process. A cluster without a shared folder is an error: no other machine could read the files."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
     return "file://" + os.path.join(tempfile.gettempdir(), f"caseloom-{os.getpid()}")
 
 
@@ -33,6 +38,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written."""
     path = scratch_path(df.sparkSession, label)
+    _WRITTEN.append(path)
     df.write.option("parquet.writer.version", "v2").parquet(path)  # v2 delta-encodes ids and offsets
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -47,6 +53,15 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete every intermediate table that this process wrote. Results are lazy and read some of them, so this is for
+    the caller, once what it wanted is written."""
+    for path in _WRITTEN:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _WRITTEN.clear()
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Ask the driver's JVM to collect finished plans, so that Spark's cleaner drops their shuffle files.
 
@@ -81,6 +96,22 @@ def unsigned_bucket(doc_id: Column, modulo: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulo)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column of ``docs`` is called so (Spark ignores case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def integer_id(docs: DataFrame, id_col: str) -> Column:
+    """The id as a long. Ids of other types than whole numbers are refused: a cast would turn them into nulls."""
+    kind = docs.schema[id_col].dataType
+    if not isinstance(kind, (ByteType, ShortType, IntegerType, LongType)):
+        raise TypeError(f"{id_col} is {kind.simpleString()}; ids must be whole numbers")
+    return F.col(id_col).cast("long")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
