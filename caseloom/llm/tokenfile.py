@@ -11,13 +11,14 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import scratch_path, ship_package, small_batches
+from caseloom.llm.common import integer_id, scratch_path, ship_package, small_batches
 from caseloom.llm.dac import DacArray, encode
 
 SEGMENT = "part int, seq int, n_docs long, n_tokens long, doc_ids array<long>, lengths array<int>, ids binary"
@@ -31,20 +32,23 @@ class PieceEncoder:
     """Ids of whole texts from a ``tokenizers`` file, with a bounded memory of pieces already encoded.
 
     A byte-level BPE encodes each pre-tokenizer piece by itself, so a text's ids are its pieces' ids in a row; words
-    repeat, so most pieces are found in the memory. Texts with characters outside PLAIN, and tokenizers that are not
-    plain byte-level BPE, go to the library whole.
+    repeat, so most pieces are found in the memory. Texts with characters outside PLAIN or with the string of an added
+    token, and tokenizers that are not plain byte-level BPE, go to the library whole.
     """
 
-    def __init__(self, path: str, max_pieces: int = 600_000):
+    def __init__(self, path: str, max_pieces: int = 1_000_000):
         import json
 
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         spec = json.loads(self.tokenizer.to_str())
+        added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         pre = spec.get("pre_tokenizer") or {}
         self.by_piece = spec["model"]["type"] == "BPE" and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec["model"].get("dropout")
+        # Pieces of letters are joined for the library: no added token may come about there.
+        self.by_piece = self.by_piece and not any(re.fullmatch(r"[\w\s]*", t) for t in added)
         self.max_pieces, self.memory = max_pieces, {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -78,32 +82,18 @@ class PieceEncoder:
         if not self.by_piece:
             return self._library(texts)
         out: list = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if not PLAIN.fullmatch(t)]
+        whole = [i for i, t in enumerate(texts) if not PLAIN.fullmatch(t) or (self.added and self.added.search(t))]
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        later, new = [], set()
-        get = self.memory.get
-        for i, t in enumerate(texts):
-            if out[i] is None:
-                pieces = PIECE.findall(t)
-                ids = list(map(get, pieces))
-                if None in ids:
-                    gaps, j = [], -1
-                    for _ in range(ids.count(None)):
-                        j = ids.index(None, j + 1)
-                        gaps.append((j, pieces[j]))
-                    new.update([p for _, p in gaps])
-                    later.append((i, gaps, ids))
-                else:
-                    out[i] = b"".join(ids)
-        fresh = self._pieces(list(new))
-        for i, gaps, ids in later:
-            for j, p in gaps:
-                ids[j] = fresh[p]
-            out[i] = b"".join(ids)
-        if len(self.memory) + len(fresh) > self.max_pieces:  # the older half goes; what is frequent comes back
+        cut = {i: PIECE.findall(t) for i, t in enumerate(texts) if out[i] is None}
+        new = list(set(chain.from_iterable(cut.values())).difference(self.memory))
+        if len(self.memory) + len(new) > self.max_pieces:  # the older half goes; what is frequent comes back
             self.memory = dict(list(self.memory.items())[len(self.memory) // 2 :])
-        self.memory.update(fresh)
+            new = list(set(chain.from_iterable(cut.values())).difference(self.memory))
+        self.memory.update(self._pieces(new))
+        known = self.memory.__getitem__
+        for i, pieces in cut.items():
+            out[i] = b"".join(map(known, pieces))
         return out
 
 
@@ -125,7 +115,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
     Null and empty texts give the end id alone. Null ids come first. Rows with the same id are kept, ordered by the
     hash of their text, so the order is a function of the rows. An empty table gives an empty store. A document is
-    never split: one longer than a segment makes a long segment. Other columns are not read.
+    never split: one longer than a segment makes a long segment. Ids are whole numbers. Other columns are not read.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -148,7 +138,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         encoder = _encoder(tokenizer_path)
         for batch in batches:
             coded = encoder.encode([t or "" for t in batch["text"]])
-            for key, x in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), coded, strict=True):
+            keys_ = batch["doc_id"]
+            for key, x in zip([None if k != k else int(k) for k in keys_.tolist()] if keys_.hasnans else keys_.tolist(), coded, strict=True):
                 keys.append(key)
                 ids.append(x + end)
                 size += len(x) // 4 + 1
@@ -161,11 +152,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
             yield flush()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    # Ids are dense bytes already; Parquet's own compression of them is left to the session's codec.
-    ordered.mapInPandas(segments, SEGMENT).write.parquet(f"{path}/segments")
-    manifest(spark.read.schema(SEGMENT).parquet(f"{path}/segments")).coalesce(1).write.parquet(f"{path}/manifest")
+    # Ids are dense bytes already; without a codec a reader of one segment has nothing to decode.
+    ordered.mapInPandas(segments, SEGMENT).write.option("compression", "none").parquet(f"{path}/segments")
+    manifest(spark.read.schema(SEGMENT).parquet(f"{path}/segments")).write.parquet(f"{path}/manifest")
 
 
 def manifest(segments: DataFrame) -> DataFrame:
@@ -198,12 +189,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_at(spark: SparkSession, path: str, position: int) -> int:
-    """The token at a global position: the manifest names the segment, the segment is read alone, its DAC entered."""
+    """The token at a global position: the manifest names the segment, and where that one lies its DAC array is entered
+    at the token; one number comes back."""
     at = spark.read.parquet(f"{path}/manifest").where((F.col("first_token") <= position) & (F.col("first_token") + F.col("n_tokens") > position)).first()
     if at is None:
         raise IndexError(position)
-    row = spark.read.schema(SEGMENT).parquet(f"{path}/segments").where((F.col("part") == at.part) & (F.col("seq") == at.seq)).select("ids").first()
-    return DacArray(bytes(row.ids))[position - at.first_token]
+    offset = position - at.first_token
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"id": [DacArray(x)[offset] for x in batch["ids"]]})
+
+    ship_package(spark)
+    found = spark.read.schema(SEGMENT).parquet(f"{path}/segments").where((F.col("part") == at.part) & (F.col("seq") == at.seq))
+    return found.select("ids").mapInPandas(look, "id long").first().id
 
 
 def document_ids(spark: SparkSession, path: str, part: int, seq: int, place: int) -> list[int]:
