@@ -4,10 +4,10 @@ A link joins fingerprints that differ in at most ``RADIUS`` bits. Documents coll
 Upper nodes of the index are shared masked bit patterns: the 64 bits fall into three blocks, and two fingerprints at
 two or fewer differences agree on a whole block, so each fingerprint goes under three patterns (block, bits). A node
 over ``leaf_limit`` fingerprints gets a level of longer patterns, as the remaining bits again fall into three blocks;
-after four levels no node can hold more than 4,096 distinct fingerprints, so no node needs a cap. Inside a node the
-fingerprints are sorted by Gray rank; runs of the order share masked bits, and pairs of runs whose accumulated
-differences on shared bits exceed the radius are pruned as whole groups. A node passes on a spanning forest of its
-links, never all pairs. Components then come from star contraction over distributed edges.
+after four levels 12 to 14 bits are free, so no node can hold more than 16,384 distinct fingerprints and none needs a
+cap. Inside every node, of whatever size, the fingerprints are sorted by Gray rank; runs of the order share masked bits,
+and pairs of runs whose accumulated differences on shared bits exceed the radius are pruned as whole groups. All links
+come from this walk. A node passes on a spanning forest of its links, never all pairs. Components then come from star contraction over distributed edges.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import discard, materialize, release_shuffles, ship_package, small_batches
+from caseloom.llm.common import discard, materialize, release_shuffles, ship_package, small_batches, unused
 
 RADIUS = 2
 SHINGLE = 3
@@ -148,26 +148,43 @@ class _Forest:
         self.parent[max(a, b)] = min(a, b)
         return True
 
+    def labels(self) -> np.ndarray:
+        label = np.array(self.parent)
+        while (label[label] != label).any():
+            label = label[label]
+        return label
 
-def node_links(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the pairs of distinct fingerprints at ``radius`` or fewer differences.
 
-    The hierarchy over Gray order is walked from the top for pairs of groups: a pair carries the differences that the
-    groups' shared bits accumulate, and goes when they exceed the radius. Pairs are expanded depth first in chunks,
-    so memory is bounded by the chunk, not by the number of pairs; a pair of groups that are one component by then
-    is not expanded.
+def node_links(fps: np.ndarray, node: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the pairs of distinct fingerprints of one node at ``radius`` or fewer differences; ``node``
+    is the number of each fingerprint's node, ascending.
+
+    Every node is a hierarchy over Gray order, and those of a batch are walked together from their tops for pairs of
+    groups: a pair carries the differences that the groups' shared bits accumulate, and goes when they exceed the
+    radius. Pairs are expanded depth first in chunks, so memory is bounded by the chunk, not by the number of pairs; a
+    pair of groups that are one component by then is not expanded.
     """
-    fps = fps[np.argsort(gray_rank(fps), kind="stable")]
+    order = np.lexsort((gray_rank(fps), node))
+    fps, node = fps[order], node[order]
     n = len(fps)
-    levels = [(np.arange(n), np.arange(n) + 1, fps, fps)]
-    while len(levels[-1][0]) > 1:
-        first, last, both, either = levels[-1]
-        at = np.arange(0, len(first), FANOUT)
-        levels.append((first[at], np.append(first[at[1:]], n), np.bitwise_and.reduceat(both, at), np.bitwise_or.reduceat(either, at)))
-    shared = [(both, ~(both ^ either)) for _, _, both, either in levels]  # values and mask of shared bits
+    # Of each level: the groups' first and last leaf, first and last child, bits that all have and that any has.
+    levels = [(np.arange(n), np.arange(n) + 1, None, None, fps, fps)]
+    while True:
+        first, last, _, _, both, either = levels[-1]
+        own = node[first]
+        new = np.concatenate(([True], own[1:] != own[:-1]))[: len(own)]
+        begin = np.flatnonzero(new)
+        if len(begin) == len(own):
+            break  # each node is one group
+        place = np.arange(len(own)) - np.repeat(begin, np.diff(np.append(begin, len(own))))
+        at = np.flatnonzero(place % FANOUT == 0)
+        until = np.append(at[1:], len(own))
+        levels.append((first[at], last[until - 1], at, until, np.bitwise_and.reduceat(both, at), np.bitwise_or.reduceat(either, at)))
+    shared = [(x[4], ~(x[4] ^ x[5])) for x in levels]  # values and mask of shared bits
     forest, left, right = _Forest(n), [], []
     label = np.arange(n)
-    stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    tops = np.arange(len(levels[-1][0]))
+    stack = [(len(levels) - 1, tops, tops)]
     while stack:
         level, a, b = stack.pop()
         if len(a) > 1 << 14:
@@ -185,41 +202,35 @@ def node_links(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.nd
                     left.append(x)
                     right.append(y)
             if keep.any():
-                label = np.array([forest.root(x) for x in range(n)])
+                label = forest.labels()
             continue
-        first, last = levels[level][0], levels[level][1]
+        first, last, child, until = levels[level][:4]
         lo, hi = np.minimum.reduceat(label, first), np.maximum.reduceat(label, first)
         one = (lo[a] == hi[a]) & (lo[b] == hi[b]) & (lo[a] == lo[b])
         a, b = a[~one], b[~one]
         if len(a):
-            below = len(levels[level - 1][0])
-            x = (a[:, None] * FANOUT + np.arange(FANOUT))[:, :, None]
-            y = (b[:, None] * FANOUT + np.arange(FANOUT))[:, None, :]
-            ok = (x < below) & (y < below) & (x <= y)
+            x = (child[a][:, None] + np.arange(FANOUT))[:, :, None]
+            y = (child[b][:, None] + np.arange(FANOUT))[:, None, :]
+            ok = (x < until[a][:, None, None]) & (y < until[b][:, None, None]) & (x <= y)
             shape = ok.shape
             stack.append((level - 1, np.broadcast_to(x, shape)[ok], np.broadcast_to(y, shape)[ok]))
     return fps[np.array(left, np.int64)], fps[np.array(right, np.int64)]
 
 
 def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links of the nodes of one task; rows come sorted by (mask, bits). Small nodes are compared together."""
+    """Links of the nodes of one task; rows come sorted by (mask, bits)."""
 
     def links(part: pd.DataFrame):
         fp = part["fp"].to_numpy(np.int64).view(np.uint64)
-        key = part["mask"].to_numpy(), part["bits"].to_numpy()
-        start = np.flatnonzero(np.r_[True, (key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])])
-        size = np.diff(np.r_[start, len(fp)])
-        outs = []
-        small = size <= 8
-        for step in range(1, 8):  # pairs inside small nodes, by distance in the node
-            take = np.flatnonzero(np.repeat(small, size) & (np.arange(len(fp)) - np.repeat(start, size) + step < np.repeat(size, size)))
-            near = np.bitwise_count(fp[take] ^ fp[take + step]) <= RADIUS
-            outs.append((fp[take[near]], fp[take[near] + step]))
-        outs += [node_links(fp[s : s + k]) for s, k in zip(start[~small].tolist(), size[~small].tolist(), strict=True)]
-        return pd.DataFrame({"a": np.concatenate([x for x, _ in outs]).view(np.int64), "b": np.concatenate([y for _, y in outs]).view(np.int64)})
+        mask, bits = part["mask"].to_numpy(), part["bits"].to_numpy()
+        node = np.cumsum(np.r_[False, (mask[1:] != mask[:-1]) | (bits[1:] != bits[:-1])])
+        a, b = node_links(fp, node)
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     held = None
     for batch in batches:
+        if not len(batch):
+            continue
         held = batch if held is None else pd.concat([held, batch], ignore_index=True)
         last = held.iloc[-1]
         same = (held["mask"] == last["mask"]) & (held["bits"] == last["bits"])
@@ -253,15 +264,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     now = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        # Minima are written before they are joined: Spark splits a hub's edges only if no aggregate is under the join.
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = materialize(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         met = large.join(low, "u")
         new = met.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         new = materialize(new, "edges")
         total = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         done = total(new) == total(now)
-        discard(now)
+        for old in (now, least, large, low):
+            discard(old)
         now = new
         if done:
             break
@@ -281,9 +294,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = materialize(with_fingerprint(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", "fp"), "fingerprints")
     lowest = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "fingerprint-ids")
     roots = components(links(lowest.select("fp"), leaf_limit))
-    linked = lowest.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    known = linked.join(least, "root").select("fp", "component_id")
+    linked = materialize(lowest.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "linked")
+    least = materialize(linked.groupBy("root").agg(F.min("low").alias("component_id")), "component-ids")
+    known = materialize(linked.join(least, "root").select("fp", "component_id"), "known")
+    for done in (lowest, linked, least):
+        discard(done)
     release_shuffles(spark)
     return marked.join(known, "fp").select("doc_id", "fp", "component_id")
 
@@ -313,14 +328,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Survivors are rows, not ids: an id may be null or stand for several texts.
     """
-    keyed = with_row_key(docs, id_col, text_col, "__key")
-    rows = near(keyed.select(F.col(id_col).alias("doc_id"), F.col("__key").alias("key"), F.col(text_col).alias("text")))
+    mark = unused(docs, "__key")
+    keyed = with_row_key(docs, id_col, text_col, mark)
+    rows = near(keyed.select(F.col(id_col).alias("doc_id"), F.col(mark).alias("key"), F.col(text_col).alias("text")))
     per = materialize(rows.groupBy("root", "key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "row-keys")
-    first = per.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first"))
-    settled = materialize(per.join(first, "root").select(F.col("key").alias("__key"), "n", (F.col("key") == F.col("first.key")).alias("stays")), "survivors")
+    first = materialize(per.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first")), "first-rows")
+    settled = materialize(per.join(first, "root").select(F.col("key").alias(mark), "n", (F.col("key") == F.col("first.key")).alias("stays")), "survivors")
+    discard(per)
+    discard(first)
     release_shuffles(docs.sparkSession)
-    kept = keyed.join(settled.where("not stays").select("__key"), "__key", "left_anti")
-    again = settled.where("stays and n > 1").select("__key")
+    kept = keyed.join(settled.where("not stays").select(mark), mark, "left_anti")
+    again = settled.where("stays and n > 1").select(mark)
     if not again.isEmpty():  # only rows that occur several times move for this
-        kept = kept.join(again, "__key", "left_anti").unionByName(kept.join(again, "__key", "left_semi").dropDuplicates(["__key"]))
+        kept = kept.join(again, mark, "left_anti").unionByName(kept.join(again, mark, "left_semi").dropDuplicates([mark]))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
