@@ -2,7 +2,9 @@
 
 A classifier fitted on a labelled table gives every document a posterior over domains. Least squares then finds a
 non-negative rate per document such that the expected tokens of each domain, summed over rates times posteriors, meet
-the targets while rates stay near one.
+the targets while rates stay near one. The descent is projected gradient: a round sums the gradient over all documents,
+moves every rate along it and projects rates below zero to zero. A plain step raises a rare domain by one a round at
+most, so the gradient is scaled by the inverse of its second derivative over the rates above zero (a few numbers).
 
 The state of the descent is not stored per document: a document's rate is a fixed expression of its posterior and of
 one multiplier per domain. So a step is one aggregate over a table of posteriors, and a lost executor has no state to
@@ -18,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import SPACE_CLASS, bounded_sample, let, materialize, table
+from caseloom.llm.common import SPACE_CLASS, bounded_sample, let, materialize, table, unused
 
 BUCKETS = 1 << 13
 DOMAINS = ("clean", "low", "toxic")
@@ -186,26 +188,27 @@ def mixing(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TAR
     other columns. Repeated rows weigh as often as they occur. Null and blank texts have no tokens and the prior."""
     domains = tuple(targets)
     model = fit_posteriors(docs, labelled, domains, key, text_col, **fit)
-    members = members_of(docs.select(F.col(key), F.col(text_col)), model, text_col).select(key, "n_tokens", "p")
+    members = members_of(docs.select(F.col(key), F.col(text_col)), model, text_col, "__m").select(key, F.col("__m.n").alias("n_tokens"), F.col("__m.p").alias("p"))
     members = materialize(members, "members")
     rates = fit_rates(members, list(targets.values()))
     p = [F.get(F.col("p"), F.lit(j)) for j in range(len(domains))]
     return members.withColumn("rate", rates.column(p, F.col("n_tokens"))).withColumn("copies", copies(F.col("rate"), F.col(key))), model, rates
 
 
-def members_of(docs: DataFrame, model: Posteriors, text_col: str = "text") -> DataFrame:
-    """``docs`` with n_tokens and p."""
-    counted = _fenced(docs, let(_buckets(F.col(text_col)), lambda b: F.struct(F.size(b).cast("long").alias("n"), model.column(b).alias("p"))), "__m")
-    return counted.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__m.n").alias("n_tokens"), F.col("__m.p").alias("p"))
+def members_of(docs: DataFrame, model: Posteriors, text_col: str, into: str) -> DataFrame:
+    """``docs`` with struct ``into``, a name of no column there: tokens ``n`` and posteriors ``p``."""
+    return _fenced(docs, let(_buckets(F.col(text_col)), lambda b: F.struct(F.size(b).cast("long").alias("n"), model.column(b).alias("p"))), into)
 
 
 def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, text_col: str = "text") -> DataFrame:
-    """The documents themselves, each as often as its copies say; all columns stay. Two passes, no shuffle of texts."""
+    """The documents themselves, each as often as its copies say; all columns stay, whatever their names. Two passes,
+    no shuffle of texts."""
     _, model, rates = mixing(docs, labelled, targets, text_col=text_col)
-    p = [F.get(F.col("p"), F.lit(j)) for j in range(len(targets))]
-    n = copies(rates.column(p, F.col("n_tokens")), F.col("doc_id"))
-    counted = members_of(docs, model, text_col).withColumn("__copies", n).where("__copies > 0")
-    return counted.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+    into = unused(docs, "__m")
+    p = [F.get(F.col(into).p, F.lit(j)) for j in range(len(targets))]
+    n = copies(rates.column(p, F.col(into).n), F.col("doc_id"))
+    counted = members_of(docs, model, text_col, into).withColumn(into, n).where(F.col(into) > 0)
+    return counted.withColumn(into, F.explode(F.sequence(F.lit(1), F.col(into)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
