@@ -1,10 +1,12 @@
 """Shards of near equal bytes by sampled splitters, in DataFrame functions only.
 
-The order is by (hash of the text, hash of the id, id): equal texts lie together. A size-weighted sample of these
-keys gives quantile boundaries, records fall into ranges between them, and an overfull range is cut into pieces by
-its keys' position between the boundaries; a range of one hot text is cut by the ids' hashes. The pieces are small
-and of bounded size, so exact running sums inside pieces plus the pieces' offsets place every record on the line of
-all bytes, and a shard is one equal stretch of that line.
+The order is by (hash of the text, hash of the id and the row). A size-weighted sample of these keys gives quantile
+boundaries, and records are partitioned into the ranges between them. A range over ``piece`` bytes, ``piece`` being a
+small fixed share of a shard, is overfull and is cut at equal steps of the text's hash between its ends; a piece that
+is still overfull, as that of a hot text, is cut at equal steps of the second hash. A shard is a run of whole pieces:
+those whose middle lies in its share of all bytes. So shard boundaries are sampled quantiles or cuts of overfull
+ranges, and shards differ by about a piece or a record, whichever is larger. Equal texts lie together unless a cut by
+the second hash parts them.
 """
 
 from __future__ import annotations
@@ -60,13 +62,15 @@ def _share(x: Column, lo: Column, hi: Column) -> Column:
     return F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(0.0)
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", ranges: int = 96, sample: int = 9600, piece_rows: int = 100_000) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", ranges: int = 192, sample: int = 19_200, pieces_a_shard: int = 400, piece_rows: int | None = None) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, shard, slot.
 
-    Size is the text's UTF-8 bytes (null: none) plus 8. Shards are consecutive stretches of the key order whose sizes
-    differ by about one record; slots count from 0 in key order without gaps. Ties (repeated rows) are placed next
-    to each other. Fewer rows than shards leave shards empty. Texts are read once and never shuffled: only ids,
-    hashes and sizes move. Other columns of ``docs`` are not read.
+    Size is the text's UTF-8 bytes (null: none) plus 8. Shards are runs of pieces of about a ``pieces_a_shard``-th of a
+    shard; slots count from 0 in key order without gaps. Repeated rows are told apart by their place in a table that is
+    written once. Fewer rows than shards leave shards empty; an empty table gives no rows. Texts are read once and never
+    shuffled: only ids, hashes and sizes move. Other columns of ``docs`` are not read. Pieces are at most about
+    ranges + shards * pieces_a_shard, whatever the number of rows; ``piece_rows`` also cuts pieces of more rows than that,
+    and then Spark decides how to join the table of pieces, which grows with the rows.
     """
     whole = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keys = docs.select(
@@ -74,34 +78,40 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
         (F.octet_length(whole) + OVERHEAD).cast("long").alias("size"),
         F.crc32(whole.cast("binary")).alias("text_crc32"),
         F.xxhash64(whole).alias("k1"),
-        F.xxhash64(F.col(id_col)).alias("k2"),
+        F.xxhash64(F.col(id_col), F.monotonically_increasing_id()).alias("k2"),
     )
     keys = materialize(keys, "shard-keys")
+    total = keys.agg(F.sum("size")).first()[0] or 1
+    limit = max(1.0, total / (shards * pieces_a_shard))
     cuts = sampled_splitters(keys, ranges, sample)
     keys = keys.withColumn("range", range_of(F.col("k1"), F.col("k2"), cuts))
 
-    # Cut overfull ranges by k1, then what is still overfull (a hot text among others) by k2.
+    small = F.broadcast if piece_rows is None else lambda parts: parts  # bounded by parameters, see above
+
     def subdivide(rows_: DataFrame, level: list[str], key: str, into: str) -> DataFrame:
-        found = rows_.groupBy(*level).agg(F.count("*").alias("__n"), F.min(key).alias("__lo"), F.max(key).alias("__hi"))
-        pieces = F.ceil(F.col("__n") / piece_rows)
+        """Cut what is over ``limit`` bytes at equal steps of ``key``."""
+        found = rows_.groupBy(*level).agg(F.sum("size").alias("__bytes"), F.count("*").alias("__n"), F.min(key).alias("__lo"), F.max(key).alias("__hi"))
+        pieces = F.ceil(F.col("__bytes") / limit)
+        pieces = pieces if piece_rows is None else F.greatest(pieces, F.ceil(F.col("__n") / piece_rows))
         place = F.least(F.floor(_share(F.col(key), F.col("__lo"), F.col("__hi")) * pieces), pieces - 1).cast("long")
-        return rows_.join(found, level).select(*rows_.columns, place.alias(into))
+        return rows_.join(small(found), level).select(*rows_.columns, place.alias(into))
 
     placed = subdivide(keys, ["range"], "k1", "piece1")
-    placed = subdivide(placed, ["range", "piece1"], "k2", "piece2").withColumn("piece", F.struct("piece1", "piece2"))
-
-    per_piece = placed.groupBy("range", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-    line = Window.orderBy("range", "piece").rowsBetween(Window.unboundedPreceding, -1)
-    per_piece = per_piece.select("range", "piece", F.coalesce(F.sum("bytes").over(line), F.lit(0)).alias("bytes_before"), F.coalesce(F.sum("rows").over(line), F.lit(0)).alias("rows_before"))
-    total = keys.agg(F.sum("size")).first()[0] or 1
-    inside = Window.partitionBy("range", "piece").orderBy("k1", "k2", "doc_id")
-    row, run = F.row_number().over(inside), F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    at = placed.withColumn("row", row).withColumn("run", run).join(per_piece, ["range", "piece"])
-    middle = F.col("bytes_before") + F.col("run") - F.col("size") / 2
-    at = at.select("doc_id", "size", "text_crc32", F.least(F.floor(middle * shards / total), F.lit(shards - 1)).cast("int").alias("shard"), (F.col("rows_before") + F.col("row") - 1).alias("place"))
-    at = materialize(at, "shards")
-    first = at.groupBy("shard").agg(F.min("place").alias("first"))
-    return at.join(F.broadcast(first), "shard").select("doc_id", "size", "text_crc32", "shard", (F.col("place") - F.col("first")).alias("slot"))  # at most `shards` rows broadcast
+    placed = subdivide(placed, ["range", "piece1"], "k2", "piece2")
+    placed = materialize(placed, "shard-pieces")
+
+    piece = ["range", "piece1", "piece2"]
+    line = Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(line), F.lit(0))
+    per_piece = placed.groupBy(*piece).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    middle = before("bytes") + F.col("bytes") / 2
+    shard = F.least(F.floor(middle * shards / total), F.lit(shards - 1)).cast("int")
+    per_piece = per_piece.select(*piece, "rows", shard.alias("shard"), before("rows").alias("rows_before"))
+    own = Window.partitionBy("shard")
+    per_piece = per_piece.select(*piece, "shard", (F.col("rows_before") - F.min("rows_before").over(own)).alias("rows_before"))
+    inside = Window.partitionBy(*piece).orderBy("k1", "k2")
+    at = placed.withColumn("row", F.row_number().over(inside)).join(small(per_piece), piece)
+    return at.select("doc_id", "size", "text_crc32", "shard", (F.col("rows_before") + F.col("row") - 1).alias("slot"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
