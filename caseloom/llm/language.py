@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,97 +24,115 @@ LONGEST = 5
 UNKNOWN = "und"
 
 
+MIX, ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+
+
+def gram_hashes(words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(ends, hashes): the words, each between marks, laid end to end as code points; ``ends`` is the end of each
+    place's word, and ``hashes[n]`` the 64-bit hash of the n characters from each place on, right only where they end
+    in the word. A hash depends on the characters alone."""
+    marked = [f"<{w}>" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    ends, hashes, rolling = np.repeat(np.cumsum(sizes), sizes), [np.zeros(0, np.uint64)], np.zeros(len(chars), np.uint64)
+    for n in range(1, LONGEST + 1):
+        grown = rolling.copy()
+        grown[: len(chars) - n + 1] = (rolling[: len(chars) - n + 1] + chars[n - 1 :] + ADD) * MIX
+        rolling = grown ^ (grown >> np.uint64(29))
+        hashes.append(rolling)
+    return ends, hashes
+
+
 class WordBackoff:
-    """Log scores per language of words and n-grams; each row is centred, so only differences count."""
+    """Log scores per language of words and n-grams; each row is centred, so only differences count.
+
+    Every word of the training sample is known, and every n-gram of its words: nothing is ranked away. So the model's
+    size is bounded by the sample, and a language of few documents keeps its words. ``words``: word -> row; ``grams``:
+    per length the sorted hashes of the n-grams, whose rows follow those of the words in this order.
+    """
 
-    def __init__(self, counts: dict[str, Counter], min_count: int = 2, max_words: int = 60_000, max_grams: int = 60_000):
+    def __init__(self, counts: dict[str, Counter]):
         self.languages = sorted(counts)
         k = len(self.languages)
-        totals = np.array([sum(counts[x].values()) for x in self.languages], float)
-        words: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(k))
-        grams: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(k)) for _ in range(LONGEST + 1)]
+        known = sorted(set().union(*counts.values()))
+        self.words = {w: i for i, w in enumerate(known)}
+        count = np.zeros((len(known), k))
         for j, lang in enumerate(self.languages):
             for w, c in counts[lang].items():
-                words[w][j] += c
-                padded = f"<{w}>"
-                for n in range(1, LONGEST + 1):
-                    for i in range(len(padded) - n + 1):
-                        grams[n][padded[i : i + n]][j] += c
-        rows: list[np.ndarray] = []
-
-        def keep(found: dict[str, np.ndarray], share: np.ndarray, most: int) -> dict[str, int]:
-            kept = sorted((x for x in found if found[x].sum() >= min_count), key=lambda x: (-found[x].sum(), x))[:most]
-            first = sum(map(len, rows))
-            rows.append(self._centred(np.array([found[x] for x in kept]).reshape(len(kept), k), share))
-            return {x: first + i for i, x in enumerate(kept)}
-
-        self.words = keep(words, totals, max_words)
-        self.grams: list[dict[str, int]] = [{}] + [keep(grams[n], sum(grams[n].values(), np.zeros(k)), max_grams) for n in range(1, LONGEST + 1)]
+                count[self.words[w], j] = c
+        rows = [self._centred(count)]
+        ends, hashes = gram_hashes(known)
+        owner = np.repeat(np.arange(len(known)), np.fromiter(map(len, known), np.int64, len(known)) + 2)
+        self.grams: list[np.ndarray] = [np.zeros(0, np.uint64)]
+        for n in range(1, LONGEST + 1):
+            at = np.flatnonzero(np.arange(len(ends)) + n <= ends)
+            found, which = np.unique(hashes[n][at], return_inverse=True)
+            per = np.stack([np.bincount(which, weights=count[owner[at], j], minlength=len(found)) for j in range(k)], axis=1) if k else np.zeros((len(found), 0))
+            rows.append(self._centred(per))
+            self.grams.append(found)
         self.rows = np.concatenate(rows)
+        self.first = np.cumsum([len(x) for x in rows])  # first row of the n-grams of each length, at n - 1
 
     @staticmethod
-    def _centred(count: np.ndarray, total: np.ndarray) -> np.ndarray:
-        score = np.log((count + 0.1) / (total + 1.0))
+    def _centred(count: np.ndarray) -> np.ndarray:
+        score = np.log((count + 0.1) / (count.sum(axis=0) + 1.0))
         return (score - score.mean(axis=1, keepdims=True) if score.size else score).astype(np.float32)
 
-    def unseen(self, word: str) -> np.ndarray:
-        """From each place the longest known n-gram, then on from the next place."""
-        padded, total = f"<{word}>", np.zeros(len(self.languages), np.float32)
-        for i in range(len(padded)):
-            for n in range(min(LONGEST, len(padded) - i), 0, -1):
-                found = self.grams[n].get(padded[i : i + n])
-                if found is not None:
-                    total += self.rows[found] / LONGEST  # overlapping n-grams tell of the same characters
-                    break
-        return total
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """A row for each word: from each place the longest known n-gram, then on from the next place."""
+        ends, hashes = gram_hashes(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        total, todo = np.zeros((len(ends), len(self.languages)), np.float32), np.arange(len(ends))
+        for n in range(LONGEST, 0, -1):
+            if not len(self.grams[n]):
+                continue
+            fits = todo[todo + n <= ends[todo]]
+            h = hashes[n][fits]
+            at = np.minimum(np.searchsorted(self.grams[n], h), len(self.grams[n]) - 1)
+            hit = self.grams[n][at] == h
+            total[fits[hit]] = self.rows[self.first[n - 1] + at[hit]] / LONGEST  # overlapping n-grams tell of the same characters
+            done = np.zeros(len(ends), bool)
+            done[fits[hit]] = True
+            todo = todo[~done[todo]]
+        return np.add.reduceat(total, np.cumsum(sizes) - sizes, axis=0) if len(words) else total
 
 
 class Scorer:
-    """Adds up word rows; rows of unseen words are kept in a bounded memory."""
+    """Adds up word rows. Rows of unseen words are made for a batch at once and kept in a bounded memory."""
 
     def __init__(self, model: WordBackoff, room: int = 200_000):
-        self.model, self.base = model, len(model.words)
-        self.rows = np.zeros((self.base + room, len(model.languages)), np.float32)
-        self.rows[: self.base] = model.rows[: self.base]  # words come first
+        self.model, self.base, self.room = model, len(model.words), room
         self._reset()
 
     def _reset(self) -> None:
-        self.at = dict(self.model.words)
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.model.languages or not any(c.isalpha() for c in text):
-            return UNKNOWN, 0.0
-        words = WORD.findall(text.lower())
-        get = self.at.get
-        found = list(map(get, words))
-        if None in found:
-            if len(self.at) + len(words) > len(self.rows):
-                self._reset()
-                found = list(map(self.at.get, words))
-            total = np.zeros(len(self.model.languages))
-            for i, (w, x) in enumerate(zip(words, found, strict=True)):
-                if x is None:
-                    x = self.at.get(w)
-                    if x is None:
-                        if len(self.at) < len(self.rows):
-                            x = self.at[w] = len(self.at)
-                            self.rows[x] = self.model.unseen(w)
-                        else:  # one text with more new words than the memory holds
-                            total += self.model.unseen(w)
-                            x = -1
-                    found[i] = x
-            found = [x for x in found if x >= 0]
-        else:
-            total = 0.0
-        total = total + self.rows[np.array(found, np.int64)].sum(axis=0, dtype=np.float64)
-        best = int(total.argmax())
-        odds = np.exp(np.maximum(total - total[best], -700))
-        return self.model.languages[best], float(1 / odds.sum())
+        self.at, self.parts, self.rows = dict(self.model.words), [], self.model.rows[: self.base]
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        split = [WORD.findall(t.lower()) if t and self.model.languages else [] for t in texts]
+        new = list(set(chain.from_iterable(split)).difference(self.at))
+        if len(self.at) + len(new) > self.base + self.room:
+            self._reset()
+            new = list(set(chain.from_iterable(split)).difference(self.at))
+        if new:
+            self.at.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+            made = [self.model.unseen(new[a : a + 20_000]) for a in range(0, len(new), 20_000)]
+            self.rows = np.concatenate([self.rows, *made])
+        out = []
+        for t, words in zip(texts, split, strict=True):
+            if not t or not self.model.languages or not (words or any(map(str.isalpha, t))):
+                out.append((UNKNOWN, 0.0))
+                continue
+            total = self.rows[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(axis=0, dtype=np.float64)
+            best = int(total.argmax())
+            odds = np.exp(np.maximum(total - total[best], -700))
+            out.append((self.model.languages[best], float(1 / odds.sum())))
+        return out
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: str = "doc_id", max_docs: int = 1500) -> WordBackoff:
     """Fit on about ``max_docs`` whole documents of each language (a documented bound; fewer where there are fewer).
-    Words are counted by Spark; one row per language and word of the sample comes back."""
+    Words are counted by Spark; one row per language and word of the sample comes back, and all of them are kept. Ties:
+    languages of equal scores, the first by name wins. Repeated rows and ids count as often as they occur."""
     ship_package(docs.sparkSession)
     small_batches(docs.sparkSession)
     sample = bounded_sample(docs.where(F.col(text_col).isNotNull()), key, lang_col, max_docs)
@@ -137,7 +156,7 @@ _HELD: list = []
 
 def with_language(docs: DataFrame, model: WordBackoff, text_col: str = "text", into: str = "language") -> DataFrame:
     """``docs`` with struct ``into`` (lang, score). Null texts and texts without a letter give ``und`` and 0; so does
-    every text when nothing was learned. No shuffle; the model's size is bounded by its word and n-gram limits."""
+    every text when nothing was learned. No shuffle; the model's size is bounded by the training sample's."""
     ship_package(docs.sparkSession)
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -146,7 +165,7 @@ def with_language(docs: DataFrame, model: WordBackoff, text_col: str = "text", i
         if not _HELD or _HELD[0] is not shared:
             _HELD[:] = [shared, Scorer(shared.value)]
         for batch in texts:
-            yield pd.DataFrame([_HELD[1].predict(t) for t in batch], columns=["lang", "score"])
+            yield pd.DataFrame(_HELD[1].predict(batch.tolist()), columns=["lang", "score"])
 
     return docs.withColumn(into, F.pandas_udf(score, "lang string, score double")(F.col(text_col)))
 
