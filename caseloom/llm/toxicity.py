@@ -8,6 +8,7 @@ never seen in training still shares most n-gram vectors with the word it comes f
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ from caseloom.llm.common import bounded_sample, ship_package, small_batches, tab
 
 WORD = re.compile(r"[^\W_]+")
 LENGTHS = (3, 4, 5)
+BUCKETS = 1 << 17
 
 
 def subword_buckets(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,73 +69,50 @@ class Model:
         return np.add.reduceat(self.weights[ids].astype(np.float64), starts) / sizes
 
 
-def _bags(texts: list[str], buckets: int):
-    """Yield each text's (bucket ids, share of the text's mean) once per call; word forms are hashed once."""
-    index: dict[str, int] = {}
-    bags = []
-    for text in texts:
-        words = WORD.findall(text.lower())
-        ids, n = np.unique(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words)), return_counts=True)
-        bags.append((ids.astype(np.int32), (n / max(1, len(words))).astype(np.float32)))
-    forms, parts, sizes = list(index), [], []
-    index.clear()
-    for at in range(0, len(forms), 20_000):  # hashing needs many times the space of its result
-        grams, start = subword_buckets(forms[at : at + 20_000], buckets)
-        parts.append(grams.astype(np.int32))
-        sizes.append(np.diff(np.r_[start, len(grams)]))
-    del forms
-    grams = np.concatenate([*parts, np.zeros(0, np.int32)])
-    size = np.concatenate([*sizes, np.zeros(0, np.int64)])
-    start = np.cumsum(size) - size
-
-    def each():
-        for ids, share in bags:
-            k = size[ids]
-            at = np.repeat(start[ids] - (np.cumsum(k) - k), k) + np.arange(k.sum())
-            total = np.bincount(grams[at], weights=np.repeat(share / np.maximum(k, 1), k), minlength=buckets)
-            found = np.flatnonzero(total)
-            yield found, total[found].astype(np.float32)
-
-    return each
-
-
-def fit(texts: list[str], labels: list[int], dim: int = 8, buckets: int = 1 << 17, epochs: int = 30, batch: int = 64, rate: float = 0.01, decay: float = 0.5, min_docs: int = 5, min_z: float = 6.0, seed: int = 1) -> Model:
+def bag(text: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket ids, shares): what each bucket adds to the text's mean; at most ``buckets`` pairs, however long the text."""
+    words = WORD.findall(text.lower())
+    forms = Counter(words)
+    names, total = list(forms), np.zeros(buckets)
+    for at in range(0, len(names), 20_000):  # hashing needs many times the space of its result
+        part = names[at : at + 20_000]
+        grams, start = subword_buckets(part, buckets)
+        size = np.diff(np.r_[start, len(grams)])
+        share = np.fromiter((forms[w] for w in part), np.float64, len(part)) / (size * len(words))
+        total += np.bincount(grams, weights=np.repeat(share, size), minlength=buckets)
+    found = np.flatnonzero(total)
+    return found.astype(np.int32), total[found].astype(np.float32)
+
+
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], dim: int = 8, buckets: int = BUCKETS, epochs: int = 20, batch: int = 64, rate: float = 0.01, decay: float = 0.5, half: float = 6.0, power: float = 16.0, seed: int = 1) -> Model:
     """Adam on embeddings and softmax together, in mini-batches; the epoch that does best on a tenth kept back counts.
 
     A text is mostly words that say nothing, and a few thousand labelled texts cannot show that for every bucket. So
-    only buckets whose presence differs between the labels by ``min_z`` standard errors are trained, and inputs are
-    standardised (both fold into the weights). Without both labels, or with no such bucket, every text gets the
-    (smoothed) share of label 1.
+    inputs are standardised and weighted by how surely a bucket's presence differs between the labels: 1 / (1 +
+    (``half`` / z) ^ ``power``) for a difference of z standard errors (both fold into the weights). The weight is never
+    cut off: every bucket of every training text is trained. Without both labels every text gets the (smoothed) share of label 1.
     """
     y = np.array(labels, int)
     n, ones = len(y), int(y.sum())
     share = (ones + 1) / (n + 2)
-    empty = Model(np.zeros(buckets, np.float32), float(np.log(share / (1 - share))))
     if not 0 < ones < n:
-        return empty
-    bags = _bags(texts, buckets)
-    docs, docs_1 = np.zeros(buckets), np.zeros(buckets)
-    for (found, _), label in zip(bags(), labels, strict=True):
-        docs[found] += 1
-        if label:
-            docs_1[found] += 1
+        return Model(np.zeros(buckets, np.float32), float(np.log(share / (1 - share))))
+    col = np.concatenate([found for found, _ in bags])
+    val = np.concatenate([value for _, value in bags])
+    lengths = np.fromiter((len(found) for found, _ in bags), np.int64, n)
+    first = np.r_[0, np.cumsum(lengths)]
+    docs = np.bincount(col, minlength=buckets).astype(float)
+    docs_1 = np.bincount(col, weights=np.repeat(y, lengths), minlength=buckets)
     common = docs / n
     z = (docs_1 / ones - (docs - docs_1) / (n - ones)) / np.sqrt(np.maximum(common * (1 - common), 1e-12) * (1 / ones + 1 / (n - ones)))
-    alive = np.flatnonzero((docs >= min_docs) & (np.abs(z) >= min_z))
-    if not len(alive):
-        return empty
-    place = np.full(buckets, -1)
+    alive = np.flatnonzero(docs)
+    place = np.full(buckets, -1, np.int32)
     place[alive] = np.arange(len(alive))
-    cols, vals, lengths = [], [], []
-    for found, value in bags():
-        keep = place[found] >= 0
-        cols.append(place[found[keep]])
-        vals.append(value[keep])
-        lengths.append(int(keep.sum()))
-    col, val, first = np.concatenate(cols), np.concatenate(vals), np.r_[0, np.cumsum(lengths)]
+    col = place[col]
     mean = np.bincount(col, weights=val, minlength=len(alive)) / n
-    spread = np.sqrt(np.maximum(np.bincount(col, weights=val.astype(float) ** 2, minlength=len(alive)) / n - mean**2, 1e-12))
-    val, mean = (val / spread[col]).astype(np.float32), (mean / spread).astype(np.float32)
+    spread = np.sqrt(np.maximum(np.bincount(col, weights=val * val, minlength=len(alive)) / n - mean**2, 1e-12))
+    scale = 1 / (1 + (half / np.maximum(np.abs(z[alive]), 1e-6)) ** power) / spread
+    val, mean = (val * scale[col]).astype(np.float32), (mean * scale).astype(np.float32)
 
     rng = np.random.default_rng(seed)
     net = {"e": (rng.standard_normal((len(alive), dim)) * 0.01).astype(np.float32), "w": (rng.standard_normal((dim, 2)) * 0.3).astype(np.float32), "b": np.log(np.array([1 - share, share], np.float32))}
@@ -180,7 +159,7 @@ def fit(texts: list[str], labels: list[int], dim: int = 8, buckets: int = 1 << 1
             best, best_net = loss, {k: x.copy() for k, x in net.items()}
     logit = best_net["e"] @ (best_net["w"][:, 1] - best_net["w"][:, 0])
     weights = np.zeros(buckets, np.float32)
-    weights[alive] = logit / spread
+    weights[alive] = logit * scale
     return Model(weights, float(best_net["b"][1] - best_net["b"][0] - mean @ logit))
 
 
@@ -213,19 +192,30 @@ class Scorer:
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = 3000) -> Model:
     """Fit on about ``max_docs`` whole labelled documents of each label (a documented bound). Ids are drawn from the
-    label table alone, so that only the drawn texts are fetched. Rows with null text or label teach nothing."""
+    label table alone, so that only the drawn texts are fetched. Texts become bags of buckets where they lie; what comes
+    back is bounded by the draw times the number of buckets. Rows with null text or label teach nothing; an id with
+    several label rows has the largest label, one with several texts the first in order."""
     ship_package(docs.sparkSession)
-    # One label per id: repeated label rows must not repeat texts.
+    small_batches(docs.sparkSession)
     drawn = bounded_sample(labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(label_col).alias("__label")), key, "__label", max_docs)
     share = labels.where(F.col(label_col).isNotNull()).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
     ids = drawn.collect()  # about 2 * max_docs pairs of numbers
     spark = docs.sparkSession
-    small = spark.createDataFrame([(r[0], int(r[1])) for r in ids], f"`{key}` long, __label int") if ids else None
-    rows = [] if small is None else docs.where(F.col(text_col).isNotNull()).select(key, F.col(text_col).alias("__text")).join(F.broadcast(small), key).groupBy(key).agg(F.min("__text").alias("__text"), F.min("__label").alias("__label")).collect()
-    rows.sort(key=lambda r: r[0])
-    model = fit([r["__text"] for r in rows], [r["__label"] for r in rows])
+
+    def bagged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [bag(t, BUCKETS) for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "ids": [a.tobytes() for a, _ in made], "shares": [b.tobytes() for _, b in made]})
+
+    rows = []
+    if ids:
+        small = spark.createDataFrame([(r[0], int(r[1])) for r in ids], f"`{key}` long, __label int")
+        texts = docs.where(F.col(text_col).isNotNull()).select(key, F.col(text_col).alias("__text")).join(F.broadcast(small), key).groupBy(key).agg(F.min("__text").alias("text"), F.min("__label").alias("label"))
+        rows = [(r.id, r.label, np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32)) for r in texts.select(F.col(key).alias("id"), "text", "label").mapInPandas(bagged, "id long, label int, ids binary, shares binary").toLocalIterator()]
+        rows.sort(key=lambda r: r[0])
+    model = fit([r[2:] for r in rows], [r[1] for r in rows])
     # The draw takes labels in other shares than the table has them; the bias moves back to the table's.
-    seen = (sum(r["__label"] for r in rows) + 1) / (len(rows) + 2)
+    seen = (sum(r[1] for r in rows) + 1) / (len(rows) + 2)
     if share and 0 < share < 1 and 0 < seen < 1:
         model.bias += float(np.log(share / (1 - share)) - np.log(seen / (1 - seen)))
     return model
