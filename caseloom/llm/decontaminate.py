@@ -9,16 +9,19 @@ as character ranges of the original text.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import ship_package, small_batches
+from caseloom.llm.common import materialize, ship_package, small_batches, unused
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 RESULT = "n_words long, n_hit long, n_items long, items array<string>, spans array<struct<start:int,end:int>>"
+FOUND = "starts array<int>, ends array<int>, items array<string>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -37,8 +40,8 @@ def item_windows(text: str | None, size: int) -> set[bytes]:
 def window_blocks(items: DataFrame, id_col: str, text_col: str, size: int, max_bytes: int):
     """Yield dicts window -> item ids, each at most about ``max_bytes`` of window text.
 
-    Items stream to the driver; a benchmark set over the limit is scanned in several blocks, each against
-    all documents, so what is broadcast stays bounded. Rows with a null id or no words have no window.
+    Items stream to the driver; a benchmark set over the limit is scanned in several blocks, one after the other, each
+    against all documents, so what is broadcast and the automaton made of it stay bounded. Rows with a null id or no words have no window.
     """
     block: dict[bytes, list[str]] = {}
     used = 0
@@ -78,12 +81,7 @@ class Scanner:
             return [], set()
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)  # position of the space after each word
         last = np.searchsorted(ends, [e for e, _ in found])
-        ranges: list[tuple[int, int]] = []
-        for start, end in sorted((int(e) - n + 1, int(e) + 1) for e, (_, (n, _)) in zip(last, found, strict=True)):
-            if ranges and start <= ranges[-1][1]:
-                ranges[-1] = (ranges[-1][0], max(ranges[-1][1], end))
-            else:
-                ranges.append((start, end))
+        ranges = _merged([(int(e) - n + 1, int(e) + 1) for e, (_, (n, _)) in zip(last, found, strict=True)])
         return ranges, {i for _, (_, owners) in found for i in owners}
 
 
@@ -103,42 +101,67 @@ def _char_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int
     return [(offsets[a][0], offsets[b - 1][1]) for a, b in ranges]
 
 
-def benchmark_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, max_block_bytes: int = 64 << 20) -> DataFrame:
-    """Add struct column ``hits`` to every row of ``docs``: word count, words hit, items, original spans.
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
 
-    All input columns stay, the order of rows and repeated rows too; a column ``hits`` is replaced. Null or wordless texts give zero words and no hit; a null, wordless or id-less item has no
-    window; an empty benchmark hits nothing. No shuffle: one map over the documents per window block.
+
+def _scan(share, first: bool, last: bool):
+    """A pass over texts with the automaton of one block: word ranges and items found so far, or after the last block
+    the result. All but the first pass get what the earlier ones found."""
+
+    def scan(batches):
+        scanner = _scanner(share)
+        for batch in batches:
+            texts, before = (batch, repeat(None)) if first else (batch[0], zip(batch[1]["starts"], batch[1]["ends"], batch[1]["items"], strict=True))
+            out = []
+            for text, earlier in zip(texts, before):
+                words = words_of(text)
+                ranges, owners = scanner.scan(words)
+                if earlier is not None:
+                    ranges = _merged([*ranges, *zip(*(x.tolist() for x in earlier[:2]), strict=True)])
+                    owners = owners.union(earlier[2].tolist())
+                if last:
+                    spans = [{"start": a, "end": b} for a, b in _char_spans(text, ranges)] if ranges else []
+                    out.append((len(words), sum(b - a for a, b in ranges), len(owners), sorted(owners), spans))
+                else:
+                    out.append(([a for a, _ in ranges], [b for _, b in ranges], sorted(owners)))
+            yield pd.DataFrame(out, columns=["n_words", "n_hit", "n_items", "items", "spans"] if last else ["starts", "ends", "items"])
+
+    scan.__annotations__ = {"batches": Iterator[pd.Series] if first else Iterator[tuple[pd.Series, pd.DataFrame]], "return": Iterator[pd.DataFrame]}
+    return scan
+
+
+def benchmark_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, max_block_bytes: int = 8 << 20, into: str = "hits") -> DataFrame:
+    """Add struct column ``into`` to every row of ``docs``: word count, words hit, items, original spans.
+
+    All input columns stay, the order of rows and repeated rows too; a column ``into`` is replaced. Null or wordless
+    texts give zero words and no hit; a null, wordless or id-less item has no window; an empty benchmark hits nothing.
+    No shuffle. One automaton holds the windows of up to ``max_block_bytes`` of window text (about fifty times that in
+    memory). A larger benchmark takes one pass over the documents for each such block: a pass writes the rows with what
+    was found so far, so a worker never holds two automata.
     """
     spark = docs.sparkSession
     ship_package(spark)
     small_batches(spark)
-    shares = [spark.sparkContext.broadcast(b) for b in window_blocks(items, item_id, item_text, window, max_block_bytes)]
-
-    def scan(texts):
-        scanners = [Scanner(b.value) for b in shares] if len(shares) > 1 else [_scanner(shares[0])]
-        for batch in texts:
-            out = []
-            for text in batch:
-                words = words_of(text)
-                ranges: list[tuple[int, int]] = []
-                owners: set[str] = set()
-                for s in scanners:
-                    r, o = s.scan(words)
-                    ranges, owners = ranges + r, owners | o
-                merged: list[tuple[int, int]] = []
-                for a, b in sorted(ranges):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1] = (merged[-1][0], max(merged[-1][1], b))
-                    else:
-                        merged.append((a, b))
-                spans = _char_spans(text, merged) if merged else []
-                out.append((len(words), sum(b - a for a, b in merged), len(owners), sorted(owners), [{"start": a, "end": b} for a, b in spans]))
-            yield pd.DataFrame(out, columns=["n_words", "n_hit", "n_items", "items", "spans"])
-
-    from collections.abc import Iterator
-
-    scan.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return docs.withColumn("hits", F.pandas_udf(scan, RESULT)(F.col(text_col)))
+    blocks = window_blocks(items, item_id, item_text, window, max_block_bytes)
+    so_far, now, block, first = unused(docs, "__found"), docs, next(blocks), True
+    while True:
+        following = next(blocks, None)
+        share = spark.sparkContext.broadcast(block)
+        hits = F.pandas_udf(_scan(share, first, following is None), FOUND if following else RESULT)
+        hits = hits(F.col(text_col)) if first else hits(F.col(text_col), F.col(so_far))
+        if following is None:
+            rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() != into.lower()]
+            return now.select(*rest, hits.alias(into))
+        now = materialize(now.withColumn(so_far, hits), "hits")
+        share.destroy()
+        block, first = following, False
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
