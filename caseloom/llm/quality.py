@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import SPACE_CLASS, let, materialize, table
+from caseloom.llm.common import SPACE_CLASS, let, materialize, table, unused
 
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -64,8 +64,9 @@ def measures(text: Column) -> Column:
 def with_measures(docs: DataFrame, text_col: str = "text", into: str = "q") -> DataFrame:
     """``docs`` with the flat measures as struct column ``into``, in place of one of that name; all other columns stay."""
     # The generator is a fence: no later projection can inline the expression and evaluate it again.
-    held = docs.select("*", F.explode(F.array(measures(F.col(text_col)))).alias("__m"))
-    m = F.col("__m")
+    held_in = unused(docs, "__m")
+    held = docs.select("*", F.explode(F.array(measures(F.col(text_col)))).alias(held_in))
+    m = F.col(held_in)
     flat = [m[g][x].alias(x) for g, xs in (("w", ("n_words", "word_chars", "n_repeat_words")), ("l", ("n_lines", "n_dup_lines")), ("c", ("n_symbols", "n_upper", "n_lower", "n_shouts"))) for x in xs]
     return held.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], F.struct(*flat).alias(into))
 
@@ -152,12 +153,12 @@ def learn(measured: DataFrame, into: str = "q") -> VoteModel:
 def quality(docs: DataFrame, text_col: str = "text", into: str = "q") -> DataFrame:
     """Every row of ``docs`` with struct ``into``: measures, votes, ``base_failed``, ``p_good`` and ``kept``.
 
-    Two passes over the texts (the votes must be counted before they are weighed), no shuffle of texts. Repeated
-    rows count as often as they occur. Null and empty texts fail the base limits. An empty table gives no rows.
-    A column named ``into`` is replaced.
+    Texts are measured once: the rows are written with their measures, as votes must be counted before they are
+    weighed. No shuffle. Repeated rows count as often as they occur. Null and empty texts fail the base limits. An empty
+    table gives no rows. A column named ``into`` is replaced.
     """
-    model = learn(docs.select(F.col(text_col).alias("text")).transform(with_measures), "q")
-    return judged(with_measures(docs, text_col, into), model, into)
+    measured = materialize(with_measures(docs, text_col, into), "quality")
+    return judged(measured, learn(measured, into), into)
 
 
 def judged(measured: DataFrame, model: VoteModel, into: str = "q") -> DataFrame:
