@@ -1,10 +1,19 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, id string, q int, count int"
 
 
+#: Further columns with names that operators might use for themselves.
+CLASHING = ["p", "n_tokens", "n", "__m", "__drop", "__fp", "fp", "__copies", "__copy", "__key", "hits", "rate", "copies", "__found", "row_id", "range", "shard", "__QUALITY", "root"]
+
+
+def clashing(df):
+    return df.withColumns({c: F.lit(f"own {c}") for c in CLASHING})
+
+
 def words(rng, n, vocabulary=60):
     return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
 
@@ -32,7 +41,7 @@ def texts():
 def docs(spark, texts):
     """The corpus with further columns whose names operators use themselves."""
     rows = [(i, t, "en", "s", 0 if t is None else len(t), 7, "x", 1, 2) for i, t in texts.items()]
-    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+    return clashing(spark.createDataFrame(rows, SCHEMA).repartition(5))
 
 
 @pytest.fixture(scope="session")
@@ -40,9 +49,9 @@ def awkward(spark):
     """Null ids, repeated rows, nulls in every column."""
     t = "some words that repeat " * 30
     rows = [(1, t, "en", "s", 1, 1, "x", 1, 1), (1, t, "en", "s", 1, 1, "x", 1, 1), (None, None, None, None, None, None, None, None, None), (None, t, None, None, None, None, None, None, None), (3, "", "de", "s", 0, 1, "x", 1, 1), (4, t + "more", "en", None, 1, 1, "x", 1, 1)]
-    return spark.createDataFrame(rows, SCHEMA)
+    return clashing(spark.createDataFrame(rows, SCHEMA))
 
 
 @pytest.fixture(scope="session")
 def nothing(spark):
-    return spark.createDataFrame([], SCHEMA)
+    return clashing(spark.createDataFrame([], SCHEMA))
