@@ -4,7 +4,8 @@ A difference cover D of period v has, for any two positions i and j, a shift bel
 D modulo v. So only windows that start at cover positions are hashed, five in twenty-one words; two equal runs of
 LENGTH words at any two places share an aligned anchor: an anchor window of LENGTH - v + 1 words that lies at the same
 shift in both. Anchors that occur twice are then extended: every run of LENGTH words around such an anchor is compared
-by a 128-bit hash of the whole run, so what is removed does not rest on the anchor alone.
+by a 96-bit hash of the whole run, so what is removed does not rest on the anchor alone. Pairs of equal anchors are not
+walked word by word: an anchor that n texts share has n^2 of them, while its runs are n.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import discard, materialize, release_shuffles, ship_package, small_batches
+from caseloom.llm.common import discard, integer_id, materialize, release_shuffles, ship_package, small_batches
 
 LENGTH = 35
 #: A perfect difference set: each non-zero difference modulo 21 occurs once.
@@ -162,19 +163,20 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: doc_id, n_words, n_removed, kept (the words left, joined by one space).
 
     A word goes when a run of ``length`` words over it also starts anywhere else, in the same text too; runs are
-    judged on the input. Null and empty texts have no words. Rows with the same id are different places. Ids may be
-    null. Other columns are not read. An empty table gives no rows.
+    judged on the input. Null and empty texts have no words. Rows with the same id are different places. Ids are whole
+    numbers or null. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ship_package(spark)
     small_batches(spark)
-    rows, key = numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+    rows, key = numbered(docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text")))
     rows = rows.withColumn("row_id", key)
     # Equal texts repeat every run they have: each goes whole. One stands for them where others' runs are looked up.
     keys = materialize(rows.select("row_id", F.sha2("text", 256).alias("digest")).where("digest is not null"), "digests")
-    groups = keys.groupBy("digest").agg(F.count("*").alias("n"), F.min("row_id").alias("first")).where("n > 1")
+    groups = materialize(keys.groupBy("digest").agg(F.count("*").alias("n"), F.min("row_id").alias("first")).where("n > 1"), "groups")
     copies = materialize(keys.join(groups, "digest").select("row_id", (F.col("row_id") == F.col("first")).alias("first")), "copies")
     discard(keys)
+    discard(groups)
     release_shuffles(spark)
     starts = removals(rows.join(copies.where("not first"), "row_id", "left_anti").select("row_id", "text"), length)
     known = starts.join(copies.select("row_id", F.lit(True).alias("whole")), "row_id", "full")
