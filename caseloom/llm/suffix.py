@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm.bwt import repeated_intervals
-from caseloom.llm.common import discard, materialize, release_shuffles, ship_package, small_batches
+from caseloom.llm.common import discard, integer_id, materialize, release_shuffles, ship_package, small_batches
 
 LENGTH, GRAM = 50, 20
 #: Bytes hashed at once; a longer text goes in overlapping pieces.
@@ -295,12 +295,12 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, spans (removed runs of bytes), kept (bytes left).
 
     Null texts are empty. A null id counts as larger than every other; rows with equal ids do not remove from each
-    other. Other columns are not read. An empty table gives no rows.
+    other. Ids are whole numbers. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ship_package(spark)
     small_batches(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(integer_id(docs, id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     twice = rows.groupBy("doc_id").count().where("count > 1 or doc_id is null")
     unique = twice.isEmpty()
     if not unique:
@@ -312,10 +312,11 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Equal texts: the row with the smallest id stands for all.
     digest = F.sha2("text", 256)
     keys = materialize(rows.select("row_id", "id", digest.alias("digest"), F.octet_length("text").alias("size")), "digests")
-    lowest = keys.groupBy("digest").agg(F.min(F.struct("id", "row_id")).alias("least"))
+    lowest = materialize(keys.groupBy("digest").agg(F.min(F.struct("id", "row_id")).alias("least")), "lowest")
     copies = keys.join(lowest, "digest").where(F.col("row_id") != F.col("least.row_id")).select("row_id", ((F.col("id") > F.col("least.id")) & (F.col("size") >= length)).alias("whole"), F.col("least.row_id").alias("like"))
     copies = materialize(copies, "copies")
     discard(keys)
+    discard(lowest)
     release_shuffles(spark)
     spans = spans_to_remove(rows.join(copies, "row_id", "left_anti").select("row_id", "id", "text"), length, unique=unique)
     # A copy with the same id as its stand-in has the same strings before it: it takes the stand-in's spans.
