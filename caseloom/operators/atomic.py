@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions import rules as R
 from caseloom.functions.text import strip
-from caseloom.schemas import ATOMIC_RESULT, CANDIDATE, UNRESOLVED
+from caseloom.schemas import ATOMIC_RESULT, CANDIDATE, CLAIM, UNRESOLVED
 
 
 def load_transformer(name: str) -> Callable:
@@ -108,6 +108,48 @@ def validate_results(results: DataFrame, spans: DataFrame) -> DataFrame:
     return j.withColumn("violations", F.concat(F.when(F.col("__sentence").isNull(), F.array(F.lit("unknown_span"))).otherwise(F.array().cast("array<string>")), found)).drop("__sentence")
 
 
+#: Which stored-result rule counts which violations; what none names lacks a field.
+_RULES = {
+    "sentence_span_ids_match_input": ("unknown_span",),
+    "required_fields_present": (),
+    "enum_values_valid": ("assertion_mode_invalid", "polarity_invalid", "claim_type_invalid", "candidate_type_invalid", "status_invalid"),
+    "duplicate_atomic_claim_ids_absent": ("duplicate_claim_id",),
+    "ontology_links_reference_valid_claims": ("unknown_claim_link",),
+    "unprocessable_contract_enforced": ("unprocessable_with_claims", "unprocessable_with_candidates", "unprocessable_without_reason"),
+    "causal_candidates_require_explicit_language": ("causal_language_missing",),
+}
+
+
+def stored_violations(stored: DataFrame, spans: DataFrame) -> DataFrame:
+    """Stored results against the contract again: one row with the number of results that break each rule. A result
+    whose span is unknown is counted there alone, another under the first rule it breaks."""
+    named = [c for codes in _RULES.values() for c in codes]
+    code = validate_results(stored.drop("violations"), spans).select(F.get("violations", F.lit(0)).alias("code"))
+    return code.agg(*[F.count_if(F.col("code").isin(*codes) if codes else F.col("code").isNotNull() & ~F.col("code").isin(*named)).alias(k) for k, codes in _RULES.items()])
+
+
+#: Versions that a request to a model names.
+CONTRACT_VERSIONS = {"model_contract_version": "sentence-to-atomic-v1", "ontology_version": "minimal-ontology-v0.2", "mapping_contract_version": "mapping-contract-v0.1"}
+
+
+def api_requests(spans: DataFrame, job_id: str, size: int = 100, versions: dict[str, str] = CONTRACT_VERSIONS) -> DataFrame:
+    """Request bodies of about ``size`` spans each: job_id, batch, body. Spans are dealt by a hash of their id into as
+    many batches as their number calls for, so no order over all spans is needed."""
+    n = max(1, -(-spans.count() // size))
+    item = F.struct(*[F.col(c) for c in sorted(spans.columns)])
+    dealt = spans.select(F.pmod(F.xxhash64("sentence_span_id"), F.lit(n)).alias("batch"), F.col("sentence_span_id").alias("id"), item.alias("item"))
+    packed = dealt.groupBy("batch").agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "item"))), lambda x: x["item"]).alias("items"))
+    body = F.to_json(F.struct(F.lit(job_id).alias("job_id"), *[F.lit(v).alias(k) for k, v in versions.items()], "items"))
+    return packed.select(F.lit(job_id).alias("job_id"), "batch", body.alias("body"))
+
+
+def api_results(responses: DataFrame) -> DataFrame:
+    """Results in response bodies (body): job_id and the result's columns."""
+    kind = f"job_id string, results array<struct<sentence_span_id:string,status:string,atomic_claims:array<{CLAIM}>,ontology_candidates:array<{CANDIDATE}>,unresolved:array<{UNRESOLVED}>,warnings:array<string>>>"
+    parsed = responses.select(F.from_json("body", kind).alias("r"))
+    return parsed.select("r.job_id", F.explode("r.results").alias("x")).select("job_id", "x.*")
+
+
 def span_violations() -> Column:
     """Codes of what a sentence span lacks."""
     texts = ("sentence_span_id", "artifact_id", "case_id", "parent_structural_span_id", "sentence_text", "segmentation_version")

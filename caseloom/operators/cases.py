@@ -45,10 +45,12 @@ def download_plan(items: DataFrame, downloads: DataFrame, stored_blobs: DataFram
     return j.withColumn("reuse", had & F.col("source_fingerprint").eqNullSafe(F.col("__f")) & F.col("__stored").isNotNull()).drop("__f", "__p", "__stored")
 
 
-def promotion_plan(selected: DataFrame, stored: DataFrame) -> DataFrame:
+def promotion_plan(selected: DataFrame, stored: DataFrame, portable: bool = False) -> DataFrame:
     """Where each selected download goes, and what is to be done: copy, reuse (same content is there) or conflict
-    (other content is there). A conflict is a row, not an abort. ``stored``: promoted_path, sha256."""
-    planned = selected.withColumn("promoted_path", promoted_path(F.col("ntsb_number"), F.col("docket_item_id"), F.col("blob_sha256")))
+    (other content is there). A conflict is a row, not an abort. ``stored``: promoted_path, sha256. ``portable`` writes
+    the colons of ids as "_" in names, as Hadoop's file systems refuse them."""
+    path = promoted_path(F.col("ntsb_number"), F.col("docket_item_id"), F.col("blob_sha256"))
+    planned = selected.withColumn("promoted_path", F.translate(path, ":", "_") if portable else path)
     there = stored.select("promoted_path", F.col("sha256").alias("__there"))
     action = F.when(F.col("__there").isNull(), "copy").when(F.col("__there") == F.col("blob_sha256"), "reuse").otherwise("conflict")
     return planned.join(there, "promoted_path", "left").withColumn("action", action).drop("__there")

@@ -30,6 +30,32 @@ def missing_fields(rows: DataFrame, required: list[str], present: Column | None
     return rows.agg(F.coalesce(F.sum(lacking), F.lit(0)).cast("long").alias("missing_count"))
 
 
+def output_measures(stored: DataFrame, key: str, required: tuple[str, ...], enum: tuple[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """One row about a stage's stored output: distinct keys, rows beyond the first of each, required values that are
+    missing or blank, and values outside ``enum`` (column, allowed; a missing one is outside too). Rows are combined
+    per key first, so a frequent key is no hot task."""
+    each = reduce(lambda a, b: a + b, [F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), 1).otherwise(0) for c in required])
+    odd = F.lit(False) if enum is None else ~F.coalesce(F.col(enum[0]).isin(*enum[1]), F.lit(False))
+    per = stored.groupBy(key).agg(F.count("*").alias("n"), F.sum(each).alias("lacking"), F.count_if(odd).alias("odd"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return per.agg(F.count("*").alias("output_count"), total(F.col("n") - 1).alias("duplicate_key_count"), total("lacking").alias("missing_required_field_count"), total("odd").alias("invalid_enum_count"))
+
+
+def output_rules(prefix: str, measures: dict, expected: int) -> list[tuple[str, str, bool, str]]:
+    """Rules over :func:`output_measures`: as many outputs as the input called for, no missing value, no repeated key."""
+    told = lambda k: f"{k}={measures[k]}"
+    return [
+        (f"{prefix}_output_count_matches_expected", "error", measures["output_count"] == expected, f"actual={measures['output_count']} expected={expected}"),
+        (f"{prefix}_required_fields_present", "error", measures["missing_required_field_count"] == 0, told("missing_required_field_count")),
+        (f"{prefix}_duplicate_keys_absent", "error", measures["duplicate_key_count"] == 0, told("duplicate_key_count")),
+    ]
+
+
+def count_rule(rule_id: str, name: str, n: int) -> tuple[str, str, bool, str]:
+    """A rule that holds when nothing was counted against it."""
+    return (rule_id, "error", n == 0, f"{name}={n}")
+
+
 def rule_summary(rules: DataFrame) -> DataFrame:
     """``rules``: rule_id, severity, passed. Warnings counts rules of that severity, passed ones too."""
     return rules.agg(F.count("*").alias("evaluated"), F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"), F.count_if(F.col("severity") == "warning").alias("warnings"))
@@ -68,15 +94,15 @@ def as_rules(spark: SparkSession, rules: list[tuple[str, str, bool, str]]) -> Da
     return spark.createDataFrame(rules, "rule_id string, severity string, passed boolean, detail string")
 
 
-def envelope(counts: dict, failures: int, digests: list[str | None], files_present: bool = True, max_failures: int = 0, max_rate: float = 0.0, deterministic: bool = True) -> list[tuple[str, str, bool, str]]:
-    """Rules every run is held to. ``deterministic`` off leaves out the digest and rate rules, for stages whose
-    envelope is the short one."""
+def envelope(counts: dict, failures: int, digests: list[str | None], status: str = "completed", max_failures: int = 0, max_rate: float = 0.0, deterministic: bool = True) -> list[tuple[str, str, bool, str]]:
+    """Rules every run is held to before its files are looked at. ``counts``: what the input held and what became of it,
+    counted apart from each other; ``failures``: failure records that were stored. ``deterministic`` off leaves out the
+    digest and rate rules, for stages whose envelope is the short one."""
     seen, ok, failed, skipped = (counts[k] for k in ("records_seen", "records_succeeded", "records_failed", "records_skipped"))
     rules = [
-        ("run_completed", "error", True, "the run reached its end"),
+        ("run_completed", "error", status == "completed", f"run_status={status}"),
         ("counts_reconcile", "error", seen == ok + failed + skipped, f"{seen} seen, {ok} + {failed} + {skipped} accounted for"),
         ("failures_recorded", "error", failures == failed, f"{failures} failure records for {failed} failures"),
-        ("outputs_present", "error", files_present, "all run files exist"),
     ]
     if deterministic:
         rules += [(f"digest_{k}_present", "error", bool(d), f"{d}") for k, d in enumerate(digests)]
@@ -85,6 +111,11 @@ def envelope(counts: dict, failures: int, digests: list[str | None], files_prese
     return rules
 
 
+def file_rules(missing: list[str], broken: list[str]) -> list[tuple[str, str, bool, str]]:
+    """Rules about a run's files as they were found: those that are not there, and those that are no JSON."""
+    return [("outputs_present", "error", not missing, ", ".join(missing) or "all run files exist"), ("json_parses", "error", not broken, ", ".join(broken) or "all run files parse")]
+
+
 def latest_certified(runs: DataFrame, stage: str) -> DataFrame:
     """The last certified run of a stage, by time of certification and then by name: a map-combined maximum."""
     ok = runs.where((F.col("stage_name") == stage) & (F.col("status") == "certified") & F.col("sentinel"))

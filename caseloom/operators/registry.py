@@ -98,6 +98,14 @@ def pending(documents: DataFrame) -> DataFrame:
     return documents.where("status = 'pending' and stage = 'registration'").orderBy("ingested_at")
 
 
+def claim(documents: DataFrame) -> DataFrame:
+    """The document table with every waiting document marked as being extracted and its error cleared. Only rows that
+    wait as they are read change; the table's one writer swaps snapshots, so no other run can claim them too."""
+    waits = (F.col("status") == "pending") & (F.col("stage") == "registration")
+    put = {"status": F.lit("processing"), "stage": F.lit("extraction"), "error_message": F.lit(None).cast("string")}
+    return documents.withColumns({c: F.when(waits, v).otherwise(F.col(c)) for c, v in put.items()})
+
+
 def completed(documents: DataFrame) -> DataFrame:
     """Documents with text, by last processing (else ingestion) time, nulls first."""
     return documents.where((F.col("status") == "completed") & F.col("stage").isin("extraction", "ocr")).orderBy(F.coalesce("last_processed_at", "ingested_at").asc_nulls_first(), F.col("ingested_at").asc_nulls_first())

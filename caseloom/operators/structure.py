@@ -113,6 +113,37 @@ def sections(lines: DataFrame) -> DataFrame:
     return g.select("doc_id", "section_key", rank.alias("section_rank"), text.alias("text"))
 
 
+def trace(docs: DataFrame, headings: dict[str, str] = R.HEADINGS) -> DataFrame:
+    """One row per document: what became of every line, for looking into a parse. title_line_index, section_order,
+    sections (key, headings, header and body lines, first and last line), unclassified_line_indexes, line_assignments
+    (with the section in effect before and after the line). Documents without lines have empty arrays."""
+    lines = line_assignments(docs, headings)
+    order = Window.partitionBy("doc_id").orderBy("line_index")
+    # The section in effect is that of the segment until its stop.
+    after = F.when(F.col("kind").isin("section_header", "section_body"), F.col("section_key")).when(F.col("kind").isin("noise", "title"), F.lit(None)).otherwise(F.lit(""))
+    carried = F.nullif(F.last(after, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(""))
+    lines = lines.withColumn("after", carried)
+    lines = lines.withColumn("before", F.lag("after").over(order))
+    segment = lines.where("section_key is not null").groupBy("doc_id", "segment", "section_key").agg(
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "section_header", F.struct("line_index", strip(F.col("text")).alias("t"))))).alias("heads"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "section_body", F.col("line_index")))).alias("body"),
+        F.min("line_index").alias("first"),
+        F.max("line_index").alias("last"),
+    )
+    section = F.struct("segment", F.struct("section_key", F.transform("heads", lambda x: x["t"]).alias("source_headings"), F.transform("heads", lambda x: x["line_index"]).alias("header_line_indexes"), F.col("body").alias("body_line_indexes"), F.col("first").alias("start_line_index"), F.col("last").alias("end_line_index")).alias("s"))
+    sections_ = segment.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(section)), lambda x: x["s"]).alias("sections"))
+    each = lines.groupBy("doc_id").agg(
+        F.min(F.when(F.col("kind") == "title", F.col("line_index"))).alias("title_line_index"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "unclassified", F.col("line_index")))).alias("unclassified_line_indexes"),
+        F.array_sort(F.collect_list(F.struct("line_index", "text", "kind", "section_key", F.col("before").alias("active_section_before"), F.col("after").alias("active_section_after")))).alias("line_assignments"),
+    )
+    out = docs.select("doc_id").join(each, "doc_id", "left").join(sections_, "doc_id", "left")
+    none = lambda c: F.coalesce(F.col(c), F.array().cast(out.schema[c].dataType)).alias(c)
+    keys = F.array_distinct(F.transform("sections", lambda x: x["section_key"]))
+    out = out.select("doc_id", "title_line_index", none("sections"), none("unclassified_line_indexes"), none("line_assignments"))
+    return out.select("doc_id", "title_line_index", keys.alias("section_order"), "sections", "unclassified_line_indexes", "line_assignments")
+
+
 def report_structure(docs: DataFrame, headings: dict[str, str] = R.HEADINGS) -> DataFrame:
     """One row per document: title, sections in their order (an array of pairs, as a map has no order), probable cause,
     recommendations, statistics. Documents without a section have none."""
