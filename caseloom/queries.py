@@ -381,7 +381,7 @@ def causal_language(spark, t):
 # --- pages ----------------------------------------------------------------------------------------------------------
 
 
-@query()
+@query(r"""SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)<table\b')) AS INTEGER) AS n_tables, CAST(len(regexp_extract_all(html, '(?i)<dl\b')) AS INTEGER) AS n_lists, CAST(len(regexp_extract_all(html, '(?i)<form\b')) AS INTEGER) AS n_forms FROM pages""")
 def html_links(spark, t):
     p = t("pages").select("page_id", html.parsed(F.col("html")).alias("p"))
     return p.select("page_id", F.size("p.tables").alias("n_tables"), F.size("p.lists").alias("n_lists"), F.size("p.forms").alias("n_forms"))
@@ -534,3 +534,147 @@ def url_joins(spark, t):
 def violation_counts(spark, t):
     known = t("labels").select(F.col("doc_id").cast("string").alias("sentence_span_id"), F.lit("text").alias("sentence_text"), "toxic")
     return atomic.violation_counts(atomic.validate_results(atomic.stated_claims(known), known.where("toxic = 0")))
+
+
+# --- whole tables through the parsers, registration and run operators ------------------------------------------------
+
+
+@query("""SELECT CAST(l_orderkey AS VARCHAR) AS ntsb_number, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_returnflag, l_quantity) + 1 AS INTEGER) AS row_index, CAST(l_linenumber AS INTEGER) AS ordinal, 'Report ' || l_returnflag AS title,
+  CAST(l_quantity AS INTEGER) AS page_count, 'report_' || lower(l_returnflag) AS normalized_title_slug, 'http://h/f/' || l_partkey || '.pdf' AS view_url FROM lineitem""")
+def docket_pages_corpus(spark, t):
+    cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), cell(F.col("l_linenumber").cast("string")), cell(F.concat(F.lit("Report "), F.col("l_returnflag"))), cell(F.col("l_quantity").cast("int").cast("string")), cell(F.lit("0")), cell(F.lit("PDF")), F.lit("<td><a href='/f/"), F.col("l_partkey").cast("string"), F.lit(".pdf'>f</a></td></tr>"))
+    per = t("lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag", "l_quantity", row.alias("r")))), lambda x: x["r"]), "").alias("rows"))
+    pages = per.select(F.col("l_orderkey").cast("string").alias("ntsb_number"), F.lit("http://h/p/").alias("public_url"), F.concat(F.lit("<table><tr><td>#</td><td>Title</td></tr>"), F.col("rows"), F.lit("</table>")).alias("html"))
+    return html.docket_items(pages).select("ntsb_number", "row_index", "ordinal", "title", "page_count", "normalized_title_slug", "view_url")
+
+
+@query("""SELECT 'C' || c_custkey AS ntsb_number, CAST(c_custkey AS VARCHAR) AS project_id, 'http://h/d?ProjectID=' || c_custkey AS result_url, c_mktsegment AS city, 'N' || c_nationkey AS state_or_region FROM customer""")
+def search_results_corpus(spark, t):
+    key = F.col("c_custkey").cast("string")
+    row = F.concat(F.lit("<tr><td><a href='/d?ProjectID="), key, F.lit("'>C"), key, F.lit("</a></td><td>"), F.col("c_mktsegment"), F.lit("</td><td>N"), F.col("c_nationkey").cast("string"), F.lit("</td></tr>"))
+    per = t("customer").groupBy("c_nationkey", F.pmod("c_custkey", F.lit(64))).agg(F.array_join(F.collect_list(row), "").alias("rows"))
+    pages = per.select(F.lit("http://h/s").alias("public_url"), F.concat(F.lit("<table id=resultTable><tr><th>NTSB Number</th><th>City</th><th>State/Region</th></tr>"), F.col("rows"), F.lit("</table>")).alias("html"))
+    return html.search_results(pages).select("ntsb_number", "project_id", "result_url", "city", "state_or_region")
+
+
+@query("""SELECT 'C' || c_custkey AS ntsb_number, 'ntsb:investigation:C' || c_custkey AS investigation_id, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'p' || c_nationkey END AS project_id, c_mktsegment AS title FROM customer""")
+def index_rows_corpus(spark, t):
+    from caseloom.sources import files
+
+    low = F.struct(F.concat(F.lit(" c "), "c_custkey").alias("ntsbNumber"), F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("p"), "c_nationkey")).alias("projectId"), F.col("c_mktsegment").alias("title"))
+    body = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit('{"results":'), F.to_json(F.collect_list(low)), F.lit("}"))).otherwise(F.to_json(F.collect_list(low)))
+    payloads = t("customer").groupBy("c_nationkey", F.pmod("c_custkey", F.lit(64))).agg(body.alias("body"))
+    return files.index_records(payloads).where("not rejected").select("ntsb_number", "investigation_id", "project_id", "title")
+
+
+@query("""WITH d AS (SELECT doc_id, source, min(doc_id) FILTER (source <> 'src1') OVER (PARTITION BY sha256(text)) AS f FROM documents)
+SELECT CASE WHEN source = 'src1' THEN 'unsupported' WHEN doc_id > f THEN 'duplicate_blob' WHEN doc_id % 11 = 0 THEN 'missing' WHEN doc_id % 13 = 0 THEN 'hash_mismatch' ELSE 'inserted' END AS outcome, count(*) AS n FROM d GROUP BY 1""")
+def registration_counts(spark, t):
+    return registry.registration_stats(register_first_blob(spark, t))
+
+
+def _stored_documents(t):
+    """Every document as registered, with an old address."""
+    from caseloom.schemas import SCHEMAS
+
+    d = t("documents").select(F.sha2(F.col("doc_id").cast("string"), 256).alias("sha256"), F.concat(F.lit("p/"), "doc_id").alias("raw_path"), F.lit("old").alias("source_url"), F.lit("pdf").alias("doc_type"), F.lit("application/pdf").alias("media_type"), "doc_id")
+    put = {"doc_id": F.col("doc_id").cast("string"), "blob_sha256": F.col("sha256"), "blob_path": F.col("raw_path"), "status": F.lit("completed"), "stage": F.lit("extraction")}
+    return d.select(*[(put[n] if n in put else F.col(n) if n in d.columns else F.lit(None)).cast(k).alias(n) for n, k in (c.split(" ", 1) for c in SCHEMAS["documents"].split(", "))])
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE 'old' END AS source_url, 'completed' AS status FROM documents")
+def reconcile_lineage(spark, t):
+    stored = _stored_documents(t)
+    same = ["source_url", "doc_type", "media_type", "blob_path", "raw_path"]
+    resolved = t("documents").select(F.col("doc_id").alias("line_no"), F.when(F.col("doc_id") % 4 == 0, "new").otherwise("old").alias("source_url"), F.lit("application/pdf").alias("media_type"), F.concat(F.lit("p/"), "doc_id").alias("blob_path"), F.concat(F.lit("p/"), "doc_id").alias("raw_path"), F.sha2(F.col("doc_id").cast("string"), 256).alias("blob_sha256"), F.sha2(F.col("doc_id").cast("string"), 256).alias("found_sha256"))
+    outcomes = registry.registration_outcomes(resolved.select("line_no", "blob_sha256", "found_sha256", *[c for c in same if c in resolved.columns]), stored)
+    return registry.reconcile(stored, outcomes).select("doc_id", "source_url", "status")
+
+
+@query("""SELECT doc_id AS line_no, CASE doc_id % 4 WHEN 0 THEN 'b/' || doc_id WHEN 1 THEN 'x/b/' || doc_id WHEN 2 THEN 'y/b/' || doc_id END AS raw_path FROM documents""")
+def blob_path_resolution(spark, t):
+    d, k = t("documents"), F.col("doc_id") % 4
+    path = lambda prefix: F.concat(F.lit(f"{prefix}b/"), "doc_id")
+    there = F.array_compact(F.array(F.when(k == 0, path("")), F.when(k <= 1, path("x/")), F.when(k <= 2, path("y/"))))
+    listing = d.select(F.explode(there).alias("path"), F.lit("h").alias("sha256"), F.lit(1).cast("long").alias("file_size"))
+    return registry.resolve_blobs(d.select(F.col("doc_id").alias("line_no"), path("").alias("blob_path")), listing, ("x", "y/")).select("line_no", "raw_path")
+
+
+@query("""SELECT doc_id, concat_ws(',', CASE WHEN doc_id % 3 = 0 THEN 'artifact_id_missing' END, CASE WHEN doc_id % 5 = 0 THEN 'sentence_index_invalid' END, CASE WHEN doc_id % 7 = 0 THEN 'locator_missing' END, CASE WHEN doc_id % 2 = 0 THEN 'provenance_artifact_checksum_missing' END) AS violations FROM documents""")
+def span_violations(spark, t):
+    k = F.col("doc_id")
+    row = t("documents").select("doc_id", F.lit("s").alias("sentence_span_id"), F.when(k % 3 == 0, " ").otherwise("a").alias("artifact_id"), F.lit("c").alias("case_id"), F.lit("p").alias("parent_structural_span_id"), F.lit("t").alias("sentence_text"), F.lit("v").alias("segmentation_version"), F.when(k % 5 == 0, 0).otherwise(1).alias("sentence_index"), F.when(k % 7 != 0, "{}").alias("locator"), F.struct(F.when(k % 2 != 0, "x").alias("artifact_checksum"), F.lit("e").alias("text_extraction_version"), F.lit("v").alias("segmentation_version")).alias("provenance"))
+    return row.select("doc_id", F.array_join(atomic.span_violations(), ",").alias("violations"))
+
+
+@query("SELECT doc_id, 'fi' || doc_id || '1 A1⁄2' || source AS plain FROM documents")
+def nfkc_beyond_ascii(spark, t):
+    return t("documents").select("doc_id", X.nfkc(F.concat(F.lit("ﬁ"), F.col("doc_id").cast("string"), F.lit("① Ａ½"), F.col("source"))).alias("plain"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 AS changed FROM orders")
+def changed_by_fingerprint(spark, t):
+    from caseloom.plans.acquisition import by_fingerprint
+
+    key = F.col("o_orderkey")
+    have = t("orders").where(key % 3 != 0).select(key.cast("string").alias("k"), F.when(key % 7 != 0, F.col("o_orderstatus")).alias("source_fingerprint"))
+    seen = t("orders").select(key.cast("string").alias("k"), F.when(key % 5 == 0, "other").when(key % 7 != 0, F.col("o_orderstatus")).alias("source_fingerprint"))
+    return by_fingerprint(have, seen, "k").select("k", "changed")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'processing' WHEN doc_id % 3 = 1 THEN 'pending' ELSE 'completed' END AS status, CASE WHEN doc_id % 3 = 1 THEN 'ocr' ELSE 'extraction' END AS stage, CASE WHEN doc_id % 3 <> 0 THEN 'e' END AS error_message FROM documents")
+def work_claim(spark, t):
+    k = F.col("doc_id") % 3
+    d = t("documents").select("doc_id", F.when(k <= 1, "pending").otherwise("completed").alias("status"), F.when(k == 0, "registration").when(k == 1, "ocr").otherwise("extraction").alias("stage"), F.lit("e").alias("error_message"))
+    return registry.claim(d)
+
+
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'own/' || doc_id WHEN 1 THEN 'ocr/doc_' || doc_id || '.txt' ELSE 'extracted/doc_' || doc_id || '.txt' END AS path FROM documents")
+def text_paths(spark, t):
+    k = F.col("doc_id") % 3
+    stored = F.when(k == 0, F.concat(F.lit("own/"), "doc_id")).when(k == 1, "")
+    return t("documents").select("doc_id", cases.text_path(F.when(k == 1, "ocr").otherwise("extraction"), stored, F.concat(F.lit("doc:"), "doc_id")).alias("path"))
+
+
+@query("SELECT count(*) AS evaluated, count(*) FILTER (l_returnflag = 'A') AS selected, count(*) FILTER (l_returnflag <> 'A') AS rejected, count(DISTINCT l_orderkey) AS cases FROM lineitem")
+def selection_counters(spark, t):
+    items = t("lineitem").select(F.col("l_orderkey").alias("ntsb_number"), F.when(F.col("l_returnflag") == "A", "Factual Report").otherwise("Photo").alias("title"), F.lit("http://h/a.pdf").alias("download_url"), F.lit("PDF").alias("display_type"), F.lit(3).alias("page_count"), F.lit(0).alias("photo_count"), F.lit(True).alias("is_active"))
+    return classify.select_items(items).agg(F.count("*").alias("evaluated"), F.count_if("selection_selected").alias("selected"), F.count_if(~F.col("selection_selected")).alias("rejected"), F.count_distinct("ntsb_number").alias("cases"))
+
+
+@query("""WITH s AS (SELECT o_custkey AS k, CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE o_orderpriority END AS p, o_orderstatus AS e FROM orders)
+SELECT count(DISTINCT k) AS output_count, CAST(count(*) - count(DISTINCT k) AS BIGINT) AS duplicate_key_count, count(*) FILTER (p = '') AS missing_required_field_count, count(*) FILTER (e NOT IN ('O', 'F')) AS invalid_enum_count FROM s""")
+def output_measures(spark, t):
+    s = t("orders").select(F.col("o_custkey").alias("k"), F.when(F.col("o_orderkey") % 9 == 0, "").otherwise(F.col("o_orderpriority")).alias("p"), F.col("o_orderstatus").alias("e"))
+    return certify.output_measures(s, "k", ("k", "p"), ("e", ("O", "F")))
+
+
+@query("""SELECT count(*) FILTER (doc_id % 5 = 0) AS mismatched, count(*) FILTER (doc_id % 5 = 1) AS lacking, count(*) FILTER (doc_id % 5 = 2) AS outside, count(*) FILTER (doc_id % 5 = 3) AS unreasoned FROM documents""")
+def stored_result_rules(spark, t):
+    k = F.col("doc_id") % 5
+    spans_ = t("documents").where(k != 0).select(F.col("doc_id").cast("string").alias("sentence_span_id"), F.lit("text").alias("sentence_text"))
+    claim = F.struct(F.lit("c").alias("atomic_claim_id"), F.when(k == 1, " ").otherwise("x").alias("claim_text"), F.when(k == 2, "sung").otherwise("stated").alias("assertion_mode"), F.lit("affirmed").alias("polarity"), F.lit("statement").alias("claim_type"), F.lit(False).alias("needs_review"))
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    from caseloom.schemas import CANDIDATE, CLAIM, UNRESOLVED
+
+    stored = t("documents").select(F.col("doc_id").cast("string").alias("sentence_span_id"), F.when(k == 3, "unprocessable").otherwise("ok").alias("status"), F.when(k == 3, none(CLAIM)).otherwise(F.array(claim)).alias("atomic_claims"), none(CANDIDATE).alias("ontology_candidates"), none(UNRESOLVED).alias("unresolved"), none("string").alias("warnings"))
+    found = atomic.stored_violations(stored, spans_)
+    return found.select(F.col("sentence_span_ids_match_input").alias("mismatched"), F.col("required_fields_present").alias("lacking"), F.col("enum_values_valid").alias("outside"), F.col("unprocessable_contract_enforced").alias("unreasoned"))
+
+
+@query("SELECT sha256(coalesce(text, '')) AS blob_sha256, min('p' || lpad(CAST(doc_id AS VARCHAR), 9, '0')) AS blob_path, CAST(max(octet_length(encode(coalesce(text, '')))) AS BIGINT) AS n_bytes FROM documents GROUP BY 1 HAVING substr(sha256(coalesce(text, '')), 1, 1) <> '0'")
+def new_blobs(spark, t):
+    from caseloom.sources import sinks
+
+    whole = F.coalesce("text", F.lit(""))
+    d = t("documents").select(F.sha2(whole, 256).alias("blob_sha256"), F.concat(F.lit("p"), F.format_string("%09d", "doc_id")).alias("blob_path"), whole.cast("binary").alias("content"))
+    stored = d.where(F.substring("blob_sha256", 1, 1) == "0").select("blob_sha256")
+    return sinks.new_blobs(d, stored).select("blob_sha256", "blob_path", F.octet_length("content").cast("long").alias("n_bytes"))
+
+
+@query("""SELECT '{"o_clerk": null, "o_orderkey": ' || o_orderkey || ', "o_orderstatus": "' || o_orderstatus || '"}' AS line FROM orders""")
+def input_manifest_lines(spark, t):
+    from caseloom.sources import sinks
+
+    return t("orders").select(sinks.spaced_json({"o_orderkey": F.col("o_orderkey"), "o_orderstatus": F.col("o_orderstatus"), "o_clerk": F.lit(None).cast("string")}).alias("line"))
