@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 import corpus_pipeline
 from caseloom.llm import nearcopies, simhash
 from caseloom.llm.common import materialize
@@ -61,6 +63,21 @@ def test_near_copies_equal_all_pairs(spark):
     assert kept == sorted(brute_survivors(texts))
 
 
+@pytest.mark.parametrize("few", [0, 3])
+def test_prefixes_find_what_pairs_find(spark, monkeypatch, few):
+    """All bands, or all but the smallest, are settled by prefixes; edits of 10 to 20 % leave many pairs just below the limit."""
+    monkeypatch.setattr(nearcopies, "FEW", few)
+    rng = random.Random(21)
+    texts = planted()
+    base = " ".join(f"v{rng.randrange(3000)}" for _ in range(170))
+    for _ in range(40):
+        w = edited(rng, base, rng.randrange(1, 8)).split()
+        texts[len(texts)] = " ".join(w[rng.randrange(12) : len(w) - rng.randrange(12)])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    kept = sorted(r.doc_id for r in simhash.one_of_each(docs, near=nearcopies.similar_roots).collect())
+    assert kept == sorted(brute_survivors(texts))
+
+
 def test_pipeline_stage_drops_near_copies(spark, awkward, nothing):
     rng = random.Random(9)
     base = [" ".join(f"w{rng.randrange(3000)}" for _ in range(200)) for _ in range(10)]
