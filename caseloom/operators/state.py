@@ -12,6 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseloom.functions.identity import SOURCE
+from caseloom.functions.text import blank_to_null, slugify, strip
+
 MATERIAL = {
     "investigations_current": ("ntsb_number", ("investigation_id", "project_id", "mode", "event_date", "title", "case_type", "location_json", "carol_metadata_json", "source_fingerprint")),
     "dockets_current": ("ntsb_number", ("docket_id", "project_id", "mode", "public_url", "item_count", "creation_date", "last_modified", "public_release_at", "raw_html_path", "retrieved_at", "source_fingerprint")),
@@ -66,6 +69,17 @@ def register_blobs(current: DataFrame, observed: DataFrame, seen_at: str, run_id
     return o.join(n, F.col("o.blob_sha256") == F.col("n.blob_sha256"), "full").select(F.coalesce("n.blob_sha256", "o.blob_sha256").alias("blob_sha256"), *keep, F.coalesce("o.first_downloaded_at", F.lit(seen_at)).alias("first_downloaded_at"), F.coalesce("o.first_run_id", F.lit(run_id)).alias("first_run_id"), F.when(got, F.lit(seen_at)).otherwise(F.col("o.last_verified_at")).alias("last_verified_at"))
 
 
+def item_payloads(items: DataFrame) -> DataFrame:
+    """Docket items in the form in which they are stored: number and title stripped, a blank slug made from the title,
+    a blank id from case, ordinal and slug, active unless said otherwise. An item without a title is an error."""
+    title = strip(F.coalesce("title", F.lit("")))
+    checked = F.when(title == "", F.raise_error(F.lit("docket item title is required"))).otherwise(title)
+    out = items.withColumns({"title": checked, "ntsb_number": strip(F.col("ntsb_number"))})
+    out = out.withColumn("normalized_title_slug", F.coalesce(blank_to_null(strip(F.col("normalized_title_slug"))), slugify(F.col("title"))))
+    built = F.concat_ws(":", F.lit(f"{SOURCE}:docket_item"), "ntsb_number", F.col("ordinal").cast("string"), "normalized_title_slug")
+    return out.withColumns({"docket_item_id": F.coalesce(blank_to_null(F.col("docket_item_id")), built), "is_active": F.coalesce("is_active", F.lit(True))})
+
+
 def replace_items(current: DataFrame, observed: DataFrame, seen_at: str, run_id: str, enumerated: DataFrame | None = None) -> DataFrame:
     """Items of the observed cases, matched by (case, ordinal): the new snapshot with ``outcome``.
 

@@ -678,3 +678,11 @@ def input_manifest_lines(spark, t):
     from caseloom.sources import sinks
 
     return t("orders").select(sinks.spaced_json({"o_orderkey": F.col("o_orderkey"), "o_orderstatus": F.col("o_orderstatus"), "o_clerk": F.lit(None).cast("string")}).alias("line"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'own' ELSE 'report_' || doc_id END AS normalized_title_slug, CASE WHEN doc_id % 3 = 0 THEN 'id' ELSE 'ntsb:docket_item:N' || doc_id || ':4:' || CASE WHEN doc_id % 2 = 0 THEN 'own' ELSE 'report_' || doc_id END END AS docket_item_id,
+  'Report ' || doc_id AS title, doc_id % 5 <> 1 AS is_active FROM documents""")
+def item_payloads(spark, t):
+    k = F.col("doc_id")
+    raw = t("documents").select("doc_id", F.concat(F.lit(" N"), k).alias("ntsb_number"), F.lit(4).alias("ordinal"), F.concat(F.lit("  Report "), k, F.lit(" ")).alias("title"), F.when(k % 2 == 0, " own ").otherwise(" ").alias("normalized_title_slug"), F.when(k % 3 == 0, "id").alias("docket_item_id"), F.when(k % 5 == 1, False).when(k % 5 == 2, True).alias("is_active"))
+    return state.item_payloads(raw).select("doc_id", "normalized_title_slug", "docket_item_id", "title", "is_active")

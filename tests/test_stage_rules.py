@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import atomic, certify, classify, narrative, structure
+from caseloom.operators import atomic, certify, classify, narrative, state, structure
 from caseloom.plans import stages
 from caseloom.plans.runs import Run, load_summary
 from caseloom.schemas import ATOMIC_RESULT
@@ -214,3 +214,12 @@ def test_structure_trace(spark):
     assert (d.line_assignments[3].active_section_before, d.line_assignments[3].active_section_after) == ("probable_cause", "probable_cause")
     assert d.line_assignments[4].active_section_after is None and d.unclassified_line_indexes == [5]
     assert r[1].line_assignments == [] and r[1].sections == []
+
+
+def test_an_item_needs_a_title(spark):
+    schema = "ntsb_number string, ordinal int, title string, normalized_title_slug string, docket_item_id string, is_active boolean"
+    one = state.item_payloads(spark.createDataFrame([(" N ", 2, " A title ", None, None, None)], schema)).first()
+    assert (one.docket_item_id, one.title, one.is_active) == ("ntsb:docket_item:N:2:a_title", "A title", True)
+    for blank in ("  ", None):
+        with pytest.raises(Exception, match="title is required"):
+            state.item_payloads(spark.createDataFrame([("N", 2, blank, None, None, None)], schema)).collect()
