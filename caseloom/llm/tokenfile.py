@@ -115,7 +115,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
     Null and empty texts give the end id alone. Null ids come first. Rows with the same id are kept, ordered by the
     hash of their text, so the order is a function of the rows. An empty table gives an empty store. A document is
-    never split: one longer than a segment makes a long segment. Ids are whole numbers. Other columns are not read.
+    never split: one longer than a segment makes a long segment. Ids are whole numbers; beside a null id in one
+    batch those over 2**53 lose digits, as pandas has them as floats there. Other columns are not read.
     """
     spark = docs.sparkSession
     ship_package(spark)
