@@ -11,6 +11,8 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
@@ -112,6 +114,22 @@ def integer_id(docs: DataFrame, id_col: str) -> Column:
     return F.col(id_col).cast("long")
 
 
+def split_id(name: str) -> tuple[Column, Column]:
+    """A long id as pandas can hold it: the id, 0 where null, and ``no_id``. A null would turn a batch into floats,
+    which lose digits over 2**53."""
+    return F.coalesce(F.col(name), F.lit(0)).alias(name), F.col(name).isNull().alias("no_id")
+
+
+def split_ids(name: str) -> tuple[Column, Column]:
+    """An array of long ids like :func:`split_id`, with ``no_ids``."""
+    return F.transform(name, lambda x: F.coalesce(x, F.lit(0))).alias(name), F.transform(name, F.isnull).alias("no_ids")
+
+
+def joined_id(ids: np.ndarray, absent: np.ndarray) -> pd.arrays.IntegerArray:
+    """Ids with their nulls again."""
+    return pd.arrays.IntegerArray(np.array(ids, np.int64), np.array(absent, bool))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import discard, integer_id, materialize, release_shuffles, ship_package, small_batches
+from caseloom.llm.common import discard, integer_id, joined_id, materialize, release_shuffles, ship_package, small_batches, split_id
 
 LENGTH = 35
 #: A perfect difference set: each non-zero difference modulo 21 occurs once.
@@ -191,9 +191,9 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 else:
                     n, kept = (0, b" ".join(words)) if at is None else keep_words(words, np.asarray(at, np.int64), length)
                 out.append((len(words), n, kept.decode("utf-8", "replace")))
-            yield pd.concat([batch[["doc_id"]].astype("Int64").reset_index(drop=True), pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])], axis=1)
+            yield pd.concat([pd.DataFrame({"doc_id": joined_id(batch["doc_id"], batch["no_id"])}), pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])], axis=1)
 
-    return rows.join(known, "row_id", "left").select("doc_id", "text", "starts", "whole").mapInPandas(finish, "doc_id long, n_words long, n_removed long, kept string")
+    return rows.join(known, "row_id", "left").select(*split_id("doc_id"), "text", "starts", "whole").mapInPandas(finish, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def numbered(rows: DataFrame):

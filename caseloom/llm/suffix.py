@@ -9,8 +9,8 @@ A byte goes when a string of ``length`` bytes over it also starts in a document
    id that has it.
 3. An anchor with one distinct fragment is a set of one string, which has nothing to merge. The fragments of all
    others are fetched, dealt by anchor, and repeated intervals of ``length`` bytes are read off the merged transforms
-   of each block of fragments. An anchor with more fragments than a block should hold is cut into single strings of
-   ``length`` bytes first, which are equal or unrelated, so no block has to hold a hot anchor.
+   of each block of fragments. An anchor with more fragments than ``hot`` is not merged: its single strings of
+   ``length`` bytes are grouped by their bytes, so no block has to hold a hot anchor.
 4. Each string's smallest id, from its interval, goes back to the documents that have the fragment.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm.bwt import repeated_intervals
-from caseloom.llm.common import discard, integer_id, materialize, release_shuffles, ship_package, small_batches
+from caseloom.llm.common import discard, integer_id, joined_id, materialize, release_shuffles, ship_package, small_batches, split_id
 
 LENGTH, GRAM = 50, 20
 #: Bytes hashed at once; a longer text goes in overlapping pieces.
@@ -335,9 +335,9 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 else:
                     runs, kept = cut_spans(data, np.array([x["start"] for x in spans_], np.int64), np.array([x["end"] for x in spans_], np.int64))
                 out.append((len(data), sum(b - a for a, b in runs), len(runs), [{"start": a, "end": b} for a, b in runs], kept))
-            yield pd.concat([batch[["doc_id"]].astype("Int64").reset_index(drop=True), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "spans", "kept"])], axis=1)
+            yield pd.concat([pd.DataFrame({"doc_id": joined_id(batch["doc_id"], batch["no_id"])}), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "spans", "kept"])], axis=1)
 
-    return rows.join(known, "row_id", "left").select("doc_id", "text", "spans", "whole").mapInPandas(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary")
+    return rows.join(known, "row_id", "left").select(*split_id("doc_id"), "text", "spans", "whole").mapInPandas(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import integer_id, scratch_path, ship_package, small_batches
+from caseloom.llm.common import integer_id, joined_id, scratch_path, ship_package, small_batches, split_id, split_ids
 from caseloom.llm.dac import DacArray, encode
 
 SEGMENT = "part int, seq int, n_docs long, n_tokens long, doc_ids array<long>, lengths array<int>, ids binary"
@@ -115,8 +115,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
     Null and empty texts give the end id alone. Null ids come first. Rows with the same id are kept, ordered by the
     hash of their text, so the order is a function of the rows. An empty table gives an empty store. A document is
-    never split: one longer than a segment makes a long segment. Ids are whole numbers; beside a null id in one
-    batch those over 2**53 lose digits, as pandas has them as floats there. Other columns are not read.
+    never split: one longer than a segment makes a long segment. Ids are whole numbers. Other columns are not
+    read.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -139,9 +139,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         encoder = _encoder(tokenizer_path)
         for batch in batches:
             coded = encoder.encode([t or "" for t in batch["text"]])
-            keys_ = batch["doc_id"]
-            for key, x in zip([None if k != k else int(k) for k in keys_.tolist()] if keys_.hasnans else keys_.tolist(), coded, strict=True):
-                keys.append(key)
+            for key, absent, x in zip(batch["doc_id"].tolist(), batch["no_id"].tolist(), coded, strict=True):
+                keys.append(None if absent else key)
                 ids.append(x + end)
                 size += len(x) // 4 + 1
                 if size >= segment_tokens:
@@ -156,7 +155,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
     rows = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     # Ids are dense bytes already; without a codec a reader of one segment has nothing to decode.
-    ordered.mapInPandas(segments, SEGMENT).write.option("compression", "none").parquet(f"{path}/segments")
+    ordered.select(*split_id("doc_id"), "text").mapInPandas(segments, SEGMENT).write.option("compression", "none").parquet(f"{path}/segments")
     manifest(spark.read.schema(SEGMENT).parquet(f"{path}/segments")).write.parquet(f"{path}/manifest")
 
 
@@ -181,12 +180,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(np.asarray(row.lengths, np.int64))
                 starts = ends - np.asarray(row.lengths, np.int64)
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pd.DataFrame({"doc_id": pd.array([None if k is None or k != k else int(k) for k in row.doc_ids], "Int64"), "start": starts + row.first_token, "n_tokens": ends - starts, "ids_crc32": np.array(crc, np.int64), "part": row.part, "seq": row.seq, "place": np.arange(len(ends))})
+                yield pd.DataFrame({"doc_id": joined_id(np.asarray(row.doc_ids, np.int64), np.asarray(row.no_ids, bool)), "start": starts + row.first_token, "n_tokens": ends - starts, "ids_crc32": np.array(crc, np.int64), "part": row.part, "seq": row.seq, "place": np.arange(len(ends))})
 
     # The manifest was written by itself, so its file size is known: Spark broadcasts it only while it is small.
     first = spark.read.parquet(f"{path}/manifest").select("part", "seq", "first_token")
     stored = spark.read.schema(SEGMENT).parquet(f"{path}/segments").join(first, ["part", "seq"])
-    return stored.select("part", "seq", "n_tokens", "first_token", "doc_ids", "lengths", "ids").mapInPandas(digest, "doc_id long, start long, n_tokens long, ids_crc32 long, part int, seq int, place int")
+    return stored.select("part", "seq", "n_tokens", "first_token", *split_ids("doc_ids"), "lengths", "ids").mapInPandas(digest, "doc_id long, start long, n_tokens long, ids_crc32 long, part int, seq int, place int")
 
 
 def token_at(spark: SparkSession, path: str, position: int) -> int:
