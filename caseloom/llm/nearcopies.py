@@ -1,9 +1,11 @@
 """Near copies by similarity: word shingles of five, Jaccard similarity of at least 0.8 on their sets.
 
-Candidates come from MinHash bands: 24 bands of 5 minima, so two texts at similarity s share a band with probability
+Candidates come from SimHash first: every text has op1's fingerprint, and the Gray-order index of ``simhash`` names the
+pairs within its radius. Fingerprints at similarity 0.8 differ in about 10 bits, so for pairs beyond that radius there
+are MinHash bands beside it: 24 bands of 5 minima, so two texts at similarity s share a band with probability
 1 - (1 - s^5)^24, which is 0.99993 at 0.8 and 0.999999 at 0.85. A link needs the similarity itself, counted on the two
-shingle sets (of 64-bit hashes), whatever the bands say. Texts with equal sets collapse first. A first round compares each
-set with one popular member of its bands, which settles most of a group of copies. Members of bands that are not one
+shingle sets (of 64-bit hashes), whatever index and bands say. Texts with equal sets collapse first. A first round checks the
+index's pairs and each set with one popular member of its bands, which settles most of a group of copies. Members of bands that are not one
 component by then are settled by prefixes, without going through a band's pairs: with shingles in the order of their
 rarity, two sets of n and m shingles that have at least t = 4/9 (n + m) in common share a shingle among the first
 n - t + 1 of the one and m - t + 1 of the other. Shingles that one edit made are in no other set, so a text with more of
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.common import discard, materialize, ship_package, small_batches
-from caseloom.llm.simhash import components
+from caseloom.llm.simhash import components, fingerprint, links
 
 SHINGLE = 5
 BANDS = 24
@@ -79,7 +81,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
 def _signatures(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
         sets = [shingle_set(t) for t in batch]
-        yield pd.DataFrame({"set": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "bands": [_signed(bands(s)) for s in sets]})
+        fps = _signed(np.array([fingerprint(t) for t in batch], np.uint64))
+        yield pd.DataFrame({"set": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "bands": [_signed(bands(s)) for s in sets], "fp": fps})
 
 
 def _shingles(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -87,6 +90,21 @@ def _shingles(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([_signed(shingle_set(t)) for t in batch])
 
 
+def _index_pairs(marked: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different sets from SimHash's index over the fingerprints of ``marked`` (set, fp): the links of
+    the index, between one set of each fingerprint, and every other set of a fingerprint with that one. They connect what
+    is within the radius; a pair that they connect only through a set similar to neither is left to the bands."""
+    one = materialize(marked.groupBy("fp").agg(F.min("set").alias("set")), "fingerprint-sets")
+    linked = links(one.select("fp"))
+    across = linked.join(one.toDF("a", "sa"), "a").join(one.toDF("b", "sb"), "b").select("sa", "sb")
+    within = marked.select("fp", "set").distinct().join(one.toDF("fp", "sb"), "fp").select(F.col("set").alias("sa"), "sb")
+    pairs = across.unionByName(within).where("sa <> sb").select(F.least("sa", "sb").alias("a"), F.greatest("sa", "sb").alias("b"))
+    pairs = materialize(pairs.distinct(), "index-pairs")
+    discard(linked)
+    discard(one)
+    return pairs
+
+
 def _similar(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that are similar enough. Sizes too far apart go before the sets are read."""
     num, den = SIMILAR
@@ -123,24 +141,28 @@ def similar_roots(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     ship_package(spark)
     small_batches(spark)
-    sign = F.pandas_udf(_signatures, "set binary, bands array<long>")
-    signed = rows.select("doc_id", "key", sign("text").alias("s")).select("doc_id", "key", "s.set", "s.bands")
+    sign = F.pandas_udf(_signatures, "set binary, bands array<long>, fp long")
+    signed = rows.select("doc_id", "key", sign("text").alias("s")).select("doc_id", "key", "s.set", "s.bands", "s.fp")
     marked = materialize(signed, "shingle-sets")
+    indexed = _index_pairs(marked)
     # Equal sets are one member; a bucket of one member has nothing to compare.
     distinct = marked.groupBy("set").agg(F.min("key").alias("key"), F.first("bands").alias("bands"))
     members = distinct.select("set", "key", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(members.join(sizes, "bucket"), "buckets")
-    # One text of each member again, as its shingles: for members of shared buckets only.
-    wanted = members.select("set", "key").distinct()
+    # One text of each member again, as its shingles: for members of the index's pairs and of shared buckets only.
+    paired = indexed.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    wanted = members.select("set", "key").unionByName(distinct.join(paired, "set").select("set", "key")).distinct()
     texts = rows.select("key", "text").join(wanted, "key").groupBy("set").agg(F.first("text").alias("text"))
     shingled = texts.select("set", F.pandas_udf(_shingles, "array<long>")("text").alias("shingles"))
     shingles = materialize(shingled.withColumn("n", F.size("shingles").cast("long")), "shingles")
-    # First round: the member with the most company in a bucket is likely the text that the others were copied from.
+    # First round: the index's pairs, and for what is beyond its radius the member with the most company in a bucket,
+    # likely the text that the others were copied from.
     ranked = members.join(members.groupBy("set").agg(F.sum("n").alias("company")), "set")
     head = ranked.groupBy("bucket").agg(F.max(F.struct("company", "set")).alias("head"))
     once = members.join(head, "bucket").groupBy("set").agg(F.max("head").alias("head")).select(F.col("set").alias("a"), F.col("head.set").alias("b")).where("a <> b")
-    edges = materialize(_similar(once, shingles), "near-edges")
+    first = indexed.unionByName(once.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    edges = materialize(_similar(first, shingles), "near-edges")
     roots = components(edges)
     # Second round: members of bands that are not one component yet, by pairs in small bands and by prefixes in others.
     placed = members.select("bucket", "set").join(roots.toDF("set", "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
@@ -157,7 +179,7 @@ def similar_roots(rows: DataFrame) -> DataFrame:
     met = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (F.col("ia") <= F.col("na") - least) & (F.col("ib") <= F.col("nb") - least)
     pairs = x.join(y, "shingle").where(met).select("a", "b").unionByName(listed).distinct()
     more = materialize(_similar(pairs, shingles), "near-edges")
-    for done in (members, shingles, placed, split, still, prefixes):
+    for done in (indexed, members, shingles, placed, split, still, prefixes):
         discard(done)
     roots = components(edges.unionByName(more)).toDF("set", "root")
     return marked.join(roots, "set", "left").select("doc_id", "key", F.coalesce("root", "set").alias("root"))

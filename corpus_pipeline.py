@@ -20,8 +20,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: similarity 0.8 or more on word shingles of five. The contract
-    values of op1 bind op1 alone; a SimHash differs in about ten bits at that similarity, too far for its index."""
+    """One document of each component of near copies: similarity 0.8 or more on word shingles of five. SimHash's index
+    names the pairs within its radius; fingerprints differ in about ten bits at that similarity, so bands of MinHash name
+    further ones. All are checked on the shingle sets."""
     return simhash.one_of_each(docs, near=nearcopies.similar_roots)
 
 

@@ -78,6 +78,20 @@ def test_prefixes_find_what_pairs_find(spark, monkeypatch, few):
     assert kept == sorted(brute_survivors(texts))
 
 
+def test_index_names_pairs_that_bands_miss(spark):
+    """Two texts at similarity 21/26 that share no band are linked through SimHash's index alone; what the index names
+    at 21/29 is not a link."""
+    once = [f"t13738w{i}" for i in range(21)]
+    further = [f"t13738x{i}" for i in range(8)]
+    for times, more, kept in ((6, 5, {4}), (60, 8, {4, 7})):
+        texts = {4: " ".join(once * times), 7: " ".join(once * times + further[:more])}
+        assert (simhash.fingerprint(texts[4]) ^ simhash.fingerprint(texts[7])).bit_count() <= simhash.RADIUS
+        if len(kept) == 1:
+            assert not (nearcopies.bands(nearcopies.shingle_set(texts[4])) == nearcopies.bands(nearcopies.shingle_set(texts[7]))).any()
+        out = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "")
+        assert {r.doc_id for r in out.collect()} == brute_survivors(texts) == kept
+
+
 def test_pipeline_stage_drops_near_copies(spark, awkward, nothing):
     rng = random.Random(9)
     base = [" ".join(f"w{rng.randrange(3000)}" for _ in range(200)) for _ in range(10)]
