@@ -31,6 +31,18 @@ def test_docket_pages(spark):
     assert d == {"N": (1, "1", True), "M": (0, None, False), "O": (0, None, False)}
 
 
+def python_steps(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+
+def test_search_results_of_a_long_page(spark):
+    """One pass of Python, and rows part from their page before they are used: beside each its whole table would go along."""
+    rows = "".join(f"<tr><td><a href='/d?ProjectID={k}'>X{k}</a></td><td>A{k}</td></tr>" for k in range(300))
+    found = html.search_results(spark.createDataFrame([("http://h/s", f"<table id=resultTable><tr><th>NTSB Number</th><th>City</th></tr>{rows}</table>")], "public_url string, html string"))
+    assert python_steps(found) == 1
+    assert {(x.ntsb_number, x.project_id, x.city, x.state_or_region) for x in found.collect()} == {(f"X{k}", str(k), f"A{k}", None) for k in range(300)}
+
+
 def test_http_retries_rate_and_form():
     sent, slept, replies = [], [], [Response(503, b"", {}), Response(429, b"", {}), Response(200, FORM.encode(), {}), Response(200, b"done", {})]
 
