@@ -49,12 +49,15 @@ def sentences(block: Column) -> Column:
     return F.filter(F.transform(parts, lambda p: strip(_restore(p))), lambda s: s != "")
 
 
-def sentence_spans(docs: DataFrame, segmentation: str = "sentence_spans_v1", context: bool = True, ascii_ids: bool = False) -> DataFrame:
+def sentence_spans(docs: DataFrame, segmentation: str = "sentence_spans_v1", context: bool = True, ascii_ids: bool = False, blank: bool = False) -> DataFrame:
     """``docs``: case_id, artifact_id, text, artifact_checksum, text_extraction_version. One row per sentence, indexes
-    from 1. Null and blank texts have no span. Two explodes and no shuffle, so it scales with the input alone."""
+    from 1. Null and blank texts have no span; with ``blank`` a blank text has one, which is empty. Two explodes and no shuffle, so it scales with the input alone."""
+    # A block is only empty where its text is blank.
+    empty = lambda parts: F.when(F.size(parts) == 0, F.array(F.lit(""))).otherwise(parts)
+    cut = lambda c, into: let(into(c), empty) if blank else into(c)
     # Outer explodes: an inner one makes Spark filter on the array first, which would compute it twice.
-    by_block = docs.select("case_id", "artifact_id", "artifact_checksum", "text_extraction_version", F.posexplode_outer(blocks(F.col("text"))).alias("__b", "__block"))
-    by_block = by_block.where("__block is not null").select("*", (F.col("__b") + 1).alias("paragraph"), sentences(F.col("__block")).alias("__s"))
+    by_block = docs.select("case_id", "artifact_id", "artifact_checksum", "text_extraction_version", F.posexplode_outer(cut(F.col("text"), blocks)).alias("__b", "__block"))
+    by_block = by_block.where("__block is not null").select("*", (F.col("__b") + 1).alias("paragraph"), cut(F.col("__block"), sentences).alias("__s"))
     spans = by_block.select("*", F.posexplode_outer("__s").alias("__i", "sentence_text")).where("sentence_text is not null")
     index = F.col("__i") + 1
     at = lambda k: F.coalesce(F.get("__s", k), F.lit(""))
