@@ -39,16 +39,17 @@ def is_noise(text: Column, heading: Column) -> Column:
     return noise
 
 
-def line_assignments(docs: DataFrame, headings: dict[str, str] = R.HEADINGS) -> DataFrame:
+def line_assignments(docs: DataFrame, headings: dict[str, str] = R.HEADINGS, blank: bool = False) -> DataFrame:
     """``docs``: doc_id, text. One row per line: doc_id, line_index, text, kind, section_key, segment, stop_prefix.
 
     ``headings`` maps normalised headings to section keys; none may be a stop heading, which is checked. Every line
-    is assigned exactly once. Null and empty texts have no lines.
+    is assigned exactly once. Null and empty texts have no lines; with ``blank`` an empty text has one, which is empty.
     """
     clash = [h for h in headings if h in R.STOP_HEADINGS or h.startswith(R.STOP_PREFIXES)]
     if clash:
         raise ValueError(f"headings that are also stops: {clash}")
-    lines = docs.select("doc_id", F.posexplode_outer(split_lines(F.col("text"))).alias("line_index", "text")).where("text is not null")
+    split = F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(split_lines(F.col("text"))) if blank else split_lines(F.col("text"))
+    lines = docs.select("doc_id", F.posexplode_outer(split).alias("line_index", "text")).where("text is not null")
     lines = lines.withColumn("heading", normalize_heading(F.col("text")))
     doc = Window.partitionBy("doc_id")
     order = doc.orderBy("line_index")
