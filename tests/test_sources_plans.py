@@ -43,6 +43,26 @@ def test_search_results_of_a_long_page(spark):
     assert {(x.ntsb_number, x.project_id, x.city, x.state_or_region) for x in found.collect()} == {(f"X{k}", str(k), f"A{k}", None) for k in range(300)}
 
 
+def test_docket_items_take_one_pass_of_python(spark):
+    pages = spark.createDataFrame([("N", "http://h/p/", "<table><tr><td>#</td><td>Title</td></tr><tr><td>1</td><td>\ufb01le \u2460</td><td><a href='x'>a</a><a href='b.pdf'>b</a></td></tr></table>")], "ntsb_number string, public_url string, html string")
+    items = html.docket_items(pages)
+    assert python_steps(items) == 1
+    assert [(x.title, x.normalized_title_slug, x.view_url) for x in items.collect()] == [("file 1", "file_1", "http://h/p/b.pdf")]
+
+
+def test_plain_markup_is_read_as_the_standard_parser_reads_it(monkeypatch):
+    import random
+
+    bits = "<table>|<table id=resultTable>|</TABLE>|<tr class=\"a b\">|</tr>|<td>|<td >|</td>|<th scope=col>|</th>|<a href='/d?x=1'>|<a href=/x>|<a href>|<a href='u' href='v'>|<a href='?a=1&amp;b=2'>|</a>|text| |a &amp; b|&nbsp;x|\u00e9 \ufb01|1 < 2|<dl>|</dl>|<dt>|<dd>|<br>|<br/>|<!-- c -->|<script>x<td></script>|\n|<form action='/s' method=post>|</form>|<select name=a>|<option value=1 selected>|</select>|<input type=checkbox name=c checked>|<textarea name=t>x</textarea>|<td x=1y=2>|</td x>|x&am|<td|<td a='1'b='2'>".split("|")
+    rnd = random.Random(7)
+    pages = ["".join(rnd.choices(bits[: rnd.choice((24, len(bits)))], k=rnd.randint(1, 20))) for _ in range(3000)]
+    plain = [html._tokens(x) is not None for x in pages]
+    assert any(plain) and not all(plain)
+    got = [html.parse_page(x, "http://h/b") for x in pages]
+    monkeypatch.setattr(html, "_tokens", lambda x: None)
+    assert got == [html.parse_page(x, "http://h/b") for x in pages]
+
+
 def test_http_retries_rate_and_form():
     sent, slept, replies = [], [], [Response(503, b"", {}), Response(429, b"", {}), Response(200, FORM.encode(), {}), Response(200, b"done", {})]
 
